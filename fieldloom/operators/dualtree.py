@@ -87,7 +87,7 @@ def dual_tree_pairs(left: DataFrame, right: DataFrame, radius_km: float, left_ke
     la, lb = durable(_leaves(a, "a")), durable(_leaves(b, "b"))
     ups = [*range(level - (level % step or step), 0, -step), 0]
     spark = left.sparkSession
-    pairs = spark.range(1).select(F.lit(0).cast("long").alias("a_pair"), F.lit(0).cast("long").alias("b_pair"), F.lit(False).alias("sure"))
+    pairs = spark.range(1).select(F.col("id").alias("a_pair"), F.col("id").alias("b_pair"), F.lit(False).alias("sure"))  # the two roots
     above = level
     near, far = _bounds()
     for up in ups:
