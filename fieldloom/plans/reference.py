@@ -1,4 +1,11 @@
-"""Queries over the driver tables."""
-from pyspark.sql import DataFrame, SparkSession
-QUERIES = {}
-SQL = {}
+"""All queries over the driver's own tables."""
+
+from __future__ import annotations
+
+from fieldloom.plans import grids, stages, texts
+from fieldloom.plans.grids import observation_cube_stats
+
+QUERIES = {**grids.query.queries, **stages.query.queries, **texts.query.queries}
+SQL = {**grids.query.sql, **stages.query.sql, **texts.query.sql}
+
+__all__ = ["QUERIES", "SQL", "observation_cube_stats"]
