@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from fieldloom.functions.let import let
+
 
 def fit_length(vector: Column, n: int) -> Column:
     """Cut or padded with zeros to ``n`` values; null stays null."""
@@ -16,9 +18,8 @@ def total(vector: Column) -> Column:
 
 def peak_normalised(wave: Column) -> Column:
     """Centred on the mean, then over the largest absolute value; a constant wave is all 0."""
-    mean = total(wave) / F.size(wave)
-    peak = F.array_max(F.transform(wave, lambda x: F.abs(x - mean)))
-    return F.transform(wave, lambda x: F.when(peak > 0, (x - mean) / peak).otherwise(0.0))
+    centred = let(total(wave) / F.size(wave), lambda mean: F.transform(wave, lambda x: x - mean))
+    return let(centred, lambda c: let(F.array_max(F.transform(c, lambda x: F.abs(x))), lambda peak: F.transform(c, lambda x: F.when(peak > 0, x / peak).otherwise(0.0))))
 
 
 def mono(channels: Column) -> Column:
@@ -29,4 +30,5 @@ def mono(channels: Column) -> Column:
 def histogram(values: Column, bins: int, low: float, high: float) -> Column:
     """Counts of ``bins`` equal bins from low to high, the last one closed; values outside don't count."""
     width = (high - low) / bins
-    return F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), lambda b: F.size(F.filter(values, lambda x: (x >= low) & (x <= high) & (F.least(F.floor((x - low) / width).cast("int"), F.lit(bins - 1)) == b))))
+    place = F.transform(F.filter(values, lambda x: (x >= low) & (x <= high)), lambda x: F.least(F.floor((x - low) / width).cast("int"), F.lit(bins - 1)))
+    return let(place, lambda p: F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), lambda b: F.size(F.filter(p, lambda x: x == b))))

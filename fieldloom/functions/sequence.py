@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from fieldloom.functions.let import let
+
 
 def clean_dna(seq: Column) -> Column:
     """Upper case, only A, T, C and G; null gives the empty text."""
@@ -31,14 +33,12 @@ def kmer_vector(seq: Column, k: int) -> Column:
     """Relative frequencies of all 4^k k-mers in order; all 0 for texts shorter than k."""
     n = F.greatest(F.length(seq) - k + 1, F.lit(1))
     found = F.transform(kmers(seq, k), lambda x: kmer_index(x, k))
-    counted = F.aggregate(found, F.map_from_arrays(F.array().cast("array<int>"), F.array().cast("array<int>")), lambda a, i: F.map_concat(F.map_filter(a, lambda q, _: q != i), F.map_from_arrays(F.array(i), F.array(F.coalesce(F.try_element_at(a, i), F.lit(0)) + 1))))
-    return F.transform(F.sequence(F.lit(0), F.lit(4**k - 1)), lambda i: F.coalesce(F.try_element_at(counted, i), F.lit(0)) / n)
+    return let(found, lambda f: F.transform(F.sequence(F.lit(0), F.lit(4**k - 1)), lambda i: F.size(F.filter(f, lambda x: x == i)) / n))
 
 
 def l1_normalised(vector: Column) -> Column:
     """Vector over its sum; unchanged if the sum isn't positive."""
-    total = F.aggregate(vector, F.lit(0.0), lambda a, x: a + x)
-    return F.when(total > 0, F.transform(vector, lambda x: x / total)).otherwise(vector)
+    return let(vector, lambda v: let(F.aggregate(v, F.lit(0.0), lambda a, x: a + x), lambda t: F.when(t > 0, F.transform(v, lambda x: x / t)).otherwise(v)))
 
 
 def one_hot(seq: Column, length: int) -> Column:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from fieldloom.functions.let import let
+
 # The most common English function words.
 STOP_WORDS = "a about after all also an and any are as at be because been before being below between both but by can did do does down during each few for from further had has have he her here him his how i if in into is it its just me more most my no nor not now of off on once only or other our out over own same she so some such than that the their them then there these they this those through to too under until up very was we were what when where which while who whom why will with you your".split()
 
@@ -25,7 +27,8 @@ def without_stop_words(words: Column, stop: list[str] = STOP_WORDS) -> Column:
 
 def ngrams(words: Column, n: int) -> Column:
     """Runs of ``n`` words joined by a blank."""
-    return F.when(F.size(words) >= n, F.transform(F.sequence(F.lit(0), F.size(words) - n), lambda i: F.array_join(F.slice(words, i + 1, F.lit(n)), " "))).otherwise(F.array().cast("array<string>"))
+    runs = lambda w: F.transform(F.sequence(F.lit(0), F.size(w) - n), lambda i: F.array_join(F.slice(w, i + 1, F.lit(n)), " "))
+    return let(words, lambda w: F.when(F.size(w) >= n, runs(w)).otherwise(F.array().cast("array<string>")))
 
 
 def term_counts(docs: DataFrame, key: str, words: Column) -> DataFrame:
