@@ -24,9 +24,11 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 SHINGLE = 5
 #: Bins of a signature for each shingle of the largest document of its partition, and independent orders.
-LOAD, PERMUTATIONS = 8, 3
+LOAD, PERMUTATIONS = 4, 3
 #: Item shingles up to which they are broadcast (8 bytes each); above, hits come from a shuffled join.
 BROADCAST_SHINGLES = 2_000_000
+#: Documents handled at once within a worker.
+BLOCK = 256
 #: Odd multipliers of the orders: the golden ratio's 64-bit fraction and further powers of it.
 _ORDERS = [np.uint64(pow(0x9E3779B97F4A7C15, 2 * i + 1, 1 << 64)) for i in range(PERMUTATIONS)]
 
@@ -49,27 +51,59 @@ def words(text: str | None) -> list[str]:
     return _WORD.findall(text.casefold())
 
 
-def shingle_hashes(w: list[str]) -> np.ndarray:
-    """Hashes of all runs of SHINGLE words, by place."""
-    n = len(w) - SHINGLE + 1
-    return np.array([xxhash.xxh3_64_intdigest(" ".join(w[i : i + SHINGLE])) for i in range(n)], dtype=np.uint64) if n > 0 else np.empty(0, np.uint64)
+_CACHED: dict[str, int] = {}
 
 
-def signature(h: np.ndarray) -> np.ndarray:
-    """The shingle hashes that the one-permutation MinHash of the document's size partition keeps, over all orders."""
-    h = np.unique(h)
-    if len(h) <= 1:
-        return h
-    bins = np.uint64(LOAD << max(0, int(len(h) - 1).bit_length()))
-    kept = np.zeros(len(h), dtype=bool)
+def _word_hashes(all_words: list[str]) -> np.ndarray:
+    """64-bit hashes of words, each distinct word hashed once a worker (the cache is emptied before it grows large)."""
+    if len(_CACHED) > 500_000:
+        _CACHED.clear()
+    for w in set(all_words) - _CACHED.keys():
+        _CACHED[w] = xxhash.xxh3_64_intdigest(w)
+    return np.fromiter(map(_CACHED.__getitem__, all_words), np.uint64, len(all_words))
+
+
+def shingle_hashes(texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of many texts at once: hashes of all runs of SHINGLE words, the text each is from, and its place in it."""
+    sizes = np.array([len(w) for w in texts], dtype=np.int64)
+    flat = _word_hashes([x for w in texts for x in w])
+    text = np.repeat(np.arange(len(texts)), sizes)
+    place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    n = len(flat) - SHINGLE + 1
+    if n <= 0:
+        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+    whole = place[:n] + SHINGLE <= np.repeat(sizes, sizes)[:n]
+    h = np.zeros(n, np.uint64)
+    with np.errstate(over="ignore"):
+        for i in range(SHINGLE):
+            h = (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93) + flat[i : i + n]
+        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return h[whole], text[:n][whole], place[:n][whole]
+
+
+def signatures(h: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Which of the shingles (given by hash and text) the one-permutation MinHash of their text's size partition keeps, over all
+    orders; of equal shingles of a text all or none."""
+    if not len(h):
+        return np.zeros(0, dtype=bool)
+    order = np.lexsort((h, text))
+    hs, ts = h[order], text[order]
+    first = np.concatenate([[True], (hs[1:] != hs[:-1]) | (ts[1:] != ts[:-1])])
+    u, t = hs[first], ts[first]
+    size = np.bincount(t)[t]
+    # The partition's bins: LOAD times the next power of two of the number of distinct shingles.
+    bins = np.uint64(LOAD) << np.ceil(np.log2(size)).astype(np.uint64)
+    kept = np.zeros(len(u), dtype=bool)
     with np.errstate(over="ignore"):
         for m in _ORDERS:
-            x = (h * m) ^ ((h * m) >> np.uint64(29))
-            place, rank = (x >> np.uint64(20)) % bins, x * m
-            order = np.lexsort((rank, place))
-            p = place[order]
-            kept[order[np.concatenate([[True], p[1:] != p[:-1]])]] = True
-    return h[kept]
+            x = u * m
+            x = (x ^ (x >> np.uint64(29))) * m
+            by = np.lexsort((x, (x >> np.uint64(20)) % bins, t))
+            bin_, of = ((x >> np.uint64(20)) % bins)[by], t[by]
+            kept[by[np.concatenate([[True], (bin_[1:] != bin_[:-1]) | (of[1:] != of[:-1])])]] = True
+    out = np.empty(len(h), dtype=bool)
+    out[order] = kept[np.cumsum(first) - 1]
+    return out
 
 
 def _extend(a: list[str], b: list[str], most: int) -> list[int]:
@@ -117,15 +151,12 @@ def longest_passage(item: list[str], passage: list[str], one_in: int = 8) -> int
     return best
 
 
-def _segments(w: list[str], h: np.ndarray, hits: np.ndarray, reach: int) -> Iterator[tuple[str, list[int]]]:
-    """Parts of a document that reach ``reach`` words beyond its hits on either side, and the hits within."""
-    places = np.flatnonzero(np.isin(h, hits))
-    if not len(places):
-        return
+def _segments(w: list[str], h: np.ndarray, places: np.ndarray, reach: int) -> Iterator[tuple[str, list[int]]]:
+    """Parts of a document that reach ``reach`` words beyond its hits (hashes at ``places``) on either side, and the hits within."""
     start = np.concatenate([[0], np.flatnonzero(np.diff(places) > 2 * reach + SHINGLE) + 1, [len(places)]])
     for x, y in zip(start[:-1], start[1:]):
         lo, hi = max(0, places[x] - reach), places[y - 1] + SHINGLE + reach
-        yield " ".join(w[lo:hi]), [int(v) for v in np.unique(h[places[x:y]]).astype(np.int64)]
+        yield " ".join(w[lo:hi]), np.unique(h[x:y]).astype(np.int64).tolist()
 
 
 def leaked_items(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_text: str = "text", item_id: str = "item_id", item_text: str = "text", least: int = 12, broadcast_limit: int = BROADCAST_SHINGLES) -> DataFrame:
@@ -140,7 +171,8 @@ def leaked_items(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_
     def item_side(frames):
         for f in frames:
             w = [words(t) for t in f["text"]]
-            yield pd.DataFrame({"item": f["item"], "words": [" ".join(x) for x in w], "n": [len(x) for x in w], "hashes": [np.unique(shingle_hashes(x)).astype(np.int64) if len(x) >= least else [] for x in w]})
+            h, of, _ = shingle_hashes(w)
+            yield pd.DataFrame({"item": f["item"], "words": [" ".join(x) for x in w], "n": [len(x) for x in w], "hashes": [np.unique(h[of == i]).astype(np.int64) if len(x) >= least else [] for i, x in enumerate(w)]})
 
     queries = items.filter(F.col(item_id).isNotNull()).select(F.col(item_id).alias("item"), F.col(item_text).cast("string").alias("text")).mapInPandas(item_side, item_rows)
     by_hash = queries.select("item", "words", F.explode("hashes").alias("hash"))
@@ -156,12 +188,19 @@ def leaked_items(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_
     def parts(frames):
         for f in frames:
             out = []
-            given = f["hits"] if "hits" in f else [None] * len(f)
-            for doc, text, of_doc in zip(f["doc"], f["text"], given):
-                w = words(text)
-                h = shingle_hashes(w)
-                hits = np.intersect1d(signature(h), known) if of_doc is None else np.array(of_doc, dtype=np.int64).astype(np.uint64)
-                out += [(doc, p, v) for p, v in _segments(w, h, hits, reach)]
+            for lo in range(0, len(f), BLOCK):
+                block = f.iloc[lo : lo + BLOCK]
+                docs_, w = list(block["doc"]), [words(t) for t in block["text"]]
+                h, of, place = shingle_hashes(w)
+                if "hits" in block:
+                    at = np.concatenate([np.isin(h[of == i], np.array(v, dtype=np.int64).astype(np.uint64)) for i, v in enumerate(block["hits"])])
+                else:
+                    # What the signatures have in common with the queries, at all its places in the text.
+                    at = np.isin(h, known) & signatures(h, of)
+                h, of, place = h[at], of[at], place[at]
+                cut = np.flatnonzero(np.diff(of)) + 1
+                for i, hs, ps in zip(of[np.concatenate([[0], cut])] if len(of) else [], np.split(h, cut), np.split(place, cut)):
+                    out += [(docs_[i], p, v) for p, v in _segments(w[i], hs, ps, reach)]
             yield pd.DataFrame(out, columns=["doc", "passage", "hits"])
 
     if small:
@@ -169,13 +208,15 @@ def leaked_items(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_
     else:
         signed = T.StructType([T.StructField("doc", id_type), T.StructField("hash", T.LongType())])
 
-        def signatures(frames):
+        def signed_docs(frames):
             for f in frames:
-                for doc, text in zip(f["doc"], f["text"]):
-                    s = signature(shingle_hashes(words(text))).astype(np.int64)
-                    yield pd.DataFrame({"doc": [doc] * len(s), "hash": s})
+                for lo in range(0, len(f), BLOCK):
+                    block = f.iloc[lo : lo + BLOCK]
+                    h, of, _ = shingle_hashes([words(t) for t in block["text"]])
+                    at = signatures(h, of)
+                    yield pd.DataFrame({"doc": block["doc"].to_numpy()[of[at]], "hash": h[at].astype(np.int64)}).drop_duplicates()
 
-        hit = corpus.mapInPandas(signatures, signed).join(by_hash.select("hash").distinct(), "hash", "left_semi").groupBy("doc").agg(F.collect_set("hash").alias("hits"))
+        hit = corpus.mapInPandas(signed_docs, signed).join(by_hash.select("hash").distinct(), "hash", "left_semi").groupBy("doc").agg(F.collect_set("hash").alias("hits"))
         held = corpus.join(hit, "doc").mapInPandas(parts, part)
     pairs = held.withColumn("hash", F.explode("hits")).join(by_hash, "hash").groupBy("item", "words", "doc", "passage").agg(F.count(F.lit(1)).alias("shared"))
 
