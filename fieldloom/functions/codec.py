@@ -6,18 +6,18 @@ import base64
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import DataFrame, functions as F, types as T
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def to_base64(values: pd.Series) -> pd.Series:
     """Little-endian 32-bit floats in order; null stays null."""
     return values.map(lambda v: None if v is None else base64.b64encode(np.asarray(v, dtype="<f4").tobytes()).decode())
 
 
-@F.pandas_udf("array<float>")
+@F.pandas_udf(T.ArrayType(T.FloatType()))
 def from_base64(values: pd.Series) -> pd.Series:
     """The floats of a base64 text; null and texts that aren't whole floats give null."""
 

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import functions as F, types as T
 
 
-def applied(f, returns: str = "array<double>"):
+def applied(f, returns: T.DataType = T.ArrayType(T.DoubleType())):
     """A vectorised column function of ``f`` (array in, array out); null stays null."""
 
     @F.pandas_udf(returns)
@@ -171,5 +171,3 @@ def normalised(image: np.ndarray, mean: float = 0.5, std: float = 0.5) -> np.nda
 def denormalised(image: np.ndarray, mean: float = 0.5, std: float = 0.5) -> np.ndarray:
     return image * std + mean
 
-
-ARRAY = T.ArrayType(T.DoubleType())

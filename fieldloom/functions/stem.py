@@ -6,7 +6,7 @@ import re
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 # The suffix rules of steps 2, 3 and 4 of the paper.
 STEP2 = "ational:ate tional:tion enci:ence anci:ance izer:ize abli:able alli:al entli:ent eli:e ousli:ous ization:ize ation:ate ator:ate alism:al iveness:ive fulness:ful ousness:ous aliti:al iviti:ive biliti:ble"
@@ -72,7 +72,7 @@ def stem(word: str) -> str:
     return w
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def stemmed(words: pd.Series) -> pd.Series:
     """Stems of an array of words; null stays null."""
     return words.map(lambda ws: None if ws is None else [stem(w) for w in ws])
