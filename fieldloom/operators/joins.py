@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
 from fieldloom.durable import durable
@@ -29,23 +31,21 @@ def nearest_slot(df: DataFrame, time: str, slots: DataFrame, slot: str, out: str
     return x.withColumn(out, chosen.cast("timestamp_ntz")).drop("__t", "__k", "__k2", "__a", "__b", "__first", "__last")
 
 
-def nearest_point(points: DataFrame, lat: str, lon: str, places: DataFrame, place_lat: str, place_lon: str, place_key: str, first_cell: float = 1.0, factor: int = 4) -> DataFrame:
+def nearest_point(points: DataFrame, lat: str, lon: str, places: DataFrame, place_lat: str, place_lon: str, place_key: str, first_cell: float | None = None, factor: int = 4) -> DataFrame:
     """Distinct locations of ``points`` with the place nearest in plane degrees: lat, lon, place_key, distance.
 
     Of equally near places the smallest key wins. Locations are looked up in grid cells that grow by ``factor``: a place
     among the nine cells around is final if it is no farther than a cell's width; the rest goes on to the next size.
-    The last size spans all, so every location is answered exactly. Null and NaN coordinates take no part; without
+    The first size is such that cells hold about one place; the last spans all, so every location is answered exactly. Null and NaN coordinates take no part; without
     places the result is empty.
     """
     ok = lambda a, b: F.col(a).isNotNull() & F.col(b).isNotNull() & ~F.isnan(F.col(a).cast("double")) & ~F.isnan(F.col(b).cast("double"))
     p = places.filter(ok(place_lat, place_lon)).groupBy(F.col(place_lat).cast("double").alias("__pa"), F.col(place_lon).cast("double").alias("__po")).agg(F.min(place_key).alias(place_key))
     x = points.filter(ok(lat, lon)).select(F.col(lat).cast("double").alias("__la"), F.col(lon).cast("double").alias("__lo")).distinct()
     p, x = durable(p), durable(x)
-    e = [d.agg(*[g(c).alias(f"{g.__name__}{k}") for g in (F.min, F.max) for k, c in enumerate(cs)]).first() for d, cs in ((p, ("__pa", "__po")), (x, ("__la", "__lo")))]
-    if any(v is None for v in (*e[0], *e[1])):
-        span = 1.0
-    else:
-        span = max(max(e[0][f"max{k}"], e[1][f"max{k}"]) - min(e[0][f"min{k}"], e[1][f"min{k}"]) for k in (0, 1)) + 1.0
+    e = [d.agg(*[g(c).alias(f"{g.__name__}{k}") for g in (F.min, F.max) for k, c in enumerate(cs)], F.count(F.lit(1)).alias("n")).first() for d, cs in ((p, ("__pa", "__po")), (x, ("__la", "__lo")))]
+    span = 1.0 if not (e[0]["n"] and e[1]["n"]) else max(max(e[0][f"max{k}"], e[1][f"max{k}"]) - min(e[0][f"min{k}"], e[1][f"min{k}"]) for k in (0, 1)) + 1.0
+    first_cell = first_cell or max(span / max(1.0, math.sqrt(e[0]["n"])), 1e-6)
     done, size = None, first_cell
     while True:
         last = size >= span
@@ -54,7 +54,7 @@ def nearest_point(points: DataFrame, lat: str, lon: str, places: DataFrame, plac
         near = p.select("*", F.explode(F.array(*around)).alias("__c"))
         d = F.sqrt(F.pow(F.col("__la") - F.col("__pa"), 2) + F.pow(F.col("__lo") - F.col("__po"), 2))
         best = x.withColumn("__c", F.struct(cell("__la").alias("i"), cell("__lo").alias("j"))).join(near, "__c", "left").groupBy("__la", "__lo").agg(F.min(F.when(F.col(place_key).isNotNull(), F.struct(d.alias("d"), F.col(place_key).alias("k")))).alias("b"))
-        best = durable(best)
+        best = best if last else durable(best)
         final = F.col("b").isNotNull() if last else F.coalesce(F.col("b.d") <= size, F.lit(False))
         part = best.filter(final).select(F.col("__la").alias(lat), F.col("__lo").alias(lon), F.col("b.k").alias(place_key), F.col("b.d").alias("distance"))
         done = part if done is None else done.unionByName(part)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fieldloom.operators import drift, dualtree, impute, regular, timestamps
@@ -28,7 +30,9 @@ def _filled(spark: SparkSession, d: str, name: str, spec: impute.Spec) -> DataFr
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     """Every value that the dependency tree could fill, of the three tables."""
-    parts = [_filled(spark, d, n, s()) for n, s in (("species_dataset", impute.redlist_spec), ("agri_grid", impute.agri_spec), ("ndvi_grid", impute.ndvi_spec))]
+    specs = (("species_dataset", impute.redlist_spec), ("agri_grid", impute.agri_spec), ("ndvi_grid", impute.ndvi_spec))
+    with ThreadPoolExecutor(len(specs)) as pool:  # the three trees are learnt side by side
+        parts = list(pool.map(lambda x: _filled(spark, d, x[0], x[1]()), specs))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
