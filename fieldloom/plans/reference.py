@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from fieldloom.plans import grids, stages, texts
+from fieldloom.plans import extras, grids, stages, texts
 from fieldloom.plans.grids import observation_cube_stats
 
-QUERIES = {**grids.query.queries, **stages.query.queries, **texts.query.queries}
-SQL = {**grids.query.sql, **stages.query.sql, **texts.query.sql}
+QUERIES = {**grids.query.queries, **stages.query.queries, **texts.query.queries, **extras.query.queries}
+SQL = {**grids.query.sql, **stages.query.sql, **texts.query.sql, **extras.query.sql}
 
 __all__ = ["QUERIES", "SQL", "observation_cube_stats"]
