@@ -3,7 +3,7 @@
 A Chow-Liu dependency tree is learnt over the discretised and categorical fields: the maximum spanning tree of
 their mutual information, from distributed pair counts. The field that names the group (of any number of
 values) is tied to the target by an edge of its own. Messages passed along the tree give the posterior of a
-missing target; it is decoded to the mode, or to the median of the likeliest bin.
+missing target; it is decoded to the mode, or to the median of the bin in the middle of the posterior.
 """
 
 from __future__ import annotations
@@ -181,7 +181,7 @@ def impute(df: DataFrame, spec: Spec) -> DataFrame:
     by_group = durable(known.groupBy(*groups).agg(F.array(*[F.count_if(F.col("__i_0") == i).cast("int") for i in range(size)]).alias("__own"), F.count("__i_0").alias("__has"), F.count(F.lit(1)).alias("__n")).filter(F.col("__has") > 0).drop("__has"))
     missing = known.filter(F.col("__i_0").isNull())
     x = salted_join(missing, by_group, groups, "__n", F.col("__key").cast("string"), "inner")
-    values = np.array(decoded, dtype=float)
+    values, whole = np.array(decoded, dtype=float), spec.whole
 
     @F.pandas_udf(T.DoubleType())
     def decode(own: pd.Series, fields: pd.DataFrame) -> pd.Series:
@@ -189,7 +189,9 @@ def impute(df: DataFrame, spec: Spec) -> DataFrame:
             return pd.Series([], dtype=float)
         o = np.array(own.tolist(), dtype=float)
         f = np.concatenate([np.full((len(o), 1), -1), fields.fillna(-1).to_numpy(dtype=int)[:, 1:]], axis=1)
-        return pd.Series(values[posterior(o / o.sum(1, keepdims=True), f, edges, counts, sizes).argmax(1)])
+        p = posterior(o / o.sum(1, keepdims=True), f, edges, counts, sizes)
+        # Classes of a category: the mode; bins of a number: the bin that holds the posterior's median.
+        return pd.Series(values[p.argmax(1) if whole else (p.cumsum(1) >= 0.5 * p.sum(1, keepdims=True)).argmax(1)])
 
     return x.select(F.col("__key").alias(spec.key), decode(F.col("__own"), F.struct(*[F.col(f"__i_{i}") for i in range(k)])).alias("filled_value"))
 
@@ -217,8 +219,8 @@ def redlist_spec() -> Spec:
 
 
 def agri_spec() -> Spec:
-    return Spec("row_id", {"variable": F.col("variable_name"), "country": clean_name(F.col("country"))}, "agri_2000", 0, 100, ("variable_name",), ("agri_1998", "agri_1999", "agri_2001", "agri_2002"))
+    return Spec("row_id", {"variable": F.col("variable_name"), "country": clean_name(F.col("country"))}, "agri_2000", 0, 100, ("variable_name",), ("agri_1998", "agri_1999", "agri_2001", "agri_2002"), bins=32)
 
 
 def ndvi_spec() -> Spec:
-    return Spec("row_id", {"lat": place(F.col("latitude")), "lon": place(F.col("longitude"))}, "ndvi", -0.2, 1.0, ("month_year", "country"), ("latitude",), bins=12)
+    return Spec("row_id", {"lat": place(F.col("latitude")), "lon": place(F.col("longitude"))}, "ndvi", -0.2, 1.0, ("month_year", "country"), ("latitude",), bins=24)
