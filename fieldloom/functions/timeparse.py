@@ -8,10 +8,9 @@ Everything stays in the JVM as built-in expressions.
 
 from __future__ import annotations
 
-import zoneinfo
 from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fieldloom.functions.barrier import computed
 
@@ -44,9 +43,11 @@ _REPLACEMENT = "=" + _SEP.join(
 
 
 @lru_cache(maxsize=1)
-def zone_names() -> frozenset[str]:
-    """IANA names with an area (Europe/Berlin); the table of zones is the installed one, so its size is fixed."""
-    return frozenset(z for z in zoneinfo.available_timezones() if "/" in z and not z.startswith(("SystemV", "right", "posix")))
+def zone_names() -> tuple[str, ...]:
+    """IANA names with an area (Europe/Berlin) that the session's Java knows; the table of zones is the installed one, so its size is fixed."""
+    spark = SparkSession.active()
+    known = {z.strip() for z in spark._jvm.java.time.ZoneId.getAvailableZoneIds().toString().strip("[]").split(",")}
+    return tuple(sorted(z for z in known if "/" in z and not z.startswith("SystemV")))
 
 
 def components(text: Column) -> Column:
@@ -117,7 +118,7 @@ def with_instant(df: DataFrame, text: Column, out: str, default_zone: Column | N
     good = y.between(1, 9999) & m.between(1, 12) & (d >= 1) & (d <= days_in_month(y, m)) & h.isNotNull() & i.between(0, 59) & s.between(0, 59)
     x = x.withColumns({t + "l": F.when(good, days_from_civil(y, m, d) * 86400 + h * 3600 + i * 60 + s), t + "z": F.coalesce(F.col(t + "za"), F.col(t + "zb"), F.col(t + "dz"))})
     local, zone = F.col(t + "l"), F.col(t + "z")
-    x = x.withColumns({t + "o": F.when(local.isNotNull(), offset_seconds(zone)), t + "n": F.when(local.isNotNull() & zone.isin(*sorted(zone_names())), zone)})
+    x = x.withColumns({t + "o": F.when(local.isNotNull(), offset_seconds(zone)), t + "n": F.when(local.isNotNull() & zone.isin(*zone_names()), zone)})
     name = F.col(t + "n")
     # Offsets a day before and after: the wall-clock time may have either, and counts if exactly one of them holds at its own instant.
     x = x.withColumns({t + "o1": F.when(name.isNotNull(), _offset_at(local - 86400, name)), t + "o2": F.when(name.isNotNull(), _offset_at(local + 86400, name))})
