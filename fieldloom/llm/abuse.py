@@ -270,11 +270,11 @@ def score(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     n = sum(classes.values())
     trees = GBTClassifier(featuresCol="x", labelCol="label", maxIter=25 if n >= 300 else 15, maxDepth=4 if n >= 300 else 3, stepSize=0.2, minInstancesPerNode=max(1, min(8, n // 50)), subsamplingRate=0.8, seed=11, maxBins=64, checkpointInterval=-1)
     raw = lambda m, df: m.transform(df).withColumn("p", vector_to_array("probability")[1])
-    # Each boosting round is a few tiny jobs one after another; the independent fits run side by side.
+    # Each boosting round is a few tiny jobs one after another; the independent fits run two at a time, which bounds what the driver holds.
     trains = [known.filter(F.col("fold") != k) for k in range(folds)]
     mixed = {r["fold"]: r["c"] for r in known.groupBy("fold", "label").count().groupBy("fold").agg(F.collect_list(F.struct("label", "count")).alias("c")).collect()}
     usable = [k for k in range(folds) if k in mixed and len({x["label"] for f, c in mixed.items() if f != k for x in c}) == 2]
-    with ThreadPoolExecutor(len(usable) + 1) as pool:
+    with ThreadPoolExecutor(2) as pool:
         *fitted, model = pool.map(trees.fit, [*(trains[k] for k in usable), known])
     parts = [raw(m, known.filter(F.col("fold") == k)).select("label", "p") for k, m in zip(usable, fitted)]
     held = reduce(DataFrame.unionByName, parts) if parts else None
