@@ -101,9 +101,9 @@ def occurrence_lists(df: DataFrame, species: str, time: str, lat: str, lon: str)
 
 
 def share_of_total(df: DataFrame, key: str) -> DataFrame:
-    """Count a key and its share of all rows; the total is one row."""
+    """Count a key and its share of all rows; the total is a scalar subquery over the counts."""
     n = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return n.join(F.broadcast(df.agg(F.count(F.lit(1)).alias("__t")))).select(key, "n", (F.col("n") / F.col("__t")).alias("share"))
+    return n.select(key, "n", (F.col("n") / n.agg(F.sum("n")).scalar()).alias("share"))
 
 
 def species_summary(df: DataFrame, species: str, time: str, value: str) -> DataFrame:

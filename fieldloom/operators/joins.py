@@ -19,14 +19,14 @@ def nearest_slot(df: DataFrame, time: str, slots: DataFrame, slot: str, out: str
     """
     s = slots.select(F.col(slot).cast("timestamp").alias("__a")).filter("__a IS NOT NULL").distinct()
     s = s.withColumn("__b", F.lead("__a").over(W.orderBy("__a")))
-    edge = s.agg(F.min("__a").alias("__first"), F.max("__a").alias("__last"))
+    ends = {"__first": s.agg(F.unix_micros(F.min("__a"))).scalar(), "__last": s.agg(F.unix_micros(F.max("__a"))).scalar()}
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
     bucket = lambda c: F.floor(micros(c) / (bucket_seconds * 1_000_000))
     s = s.filter("__b IS NOT NULL").select(micros("__a").alias("__a"), micros("__b").alias("__b"), F.explode(F.sequence(bucket("__a"), bucket("__b"))).alias("__k"))
     x = df.withColumns({"__t": micros(time), "__k2": bucket(time)})
-    x = x.join(s, (F.col("__k2") == F.col("__k")) & (F.col("__t") >= F.col("__a")) & (F.col("__t") < F.col("__b")), "left").join(F.broadcast(edge))  # one row
+    x = x.join(s, (F.col("__k2") == F.col("__k")) & (F.col("__t") >= F.col("__a")) & (F.col("__t") < F.col("__b")), "left").withColumns(ends)
     near = F.when(F.col("__t") - F.col("__a") <= F.col("__b") - F.col("__t"), F.col("__a")).otherwise(F.col("__b"))
-    beyond = F.when(F.col("__t") < micros("__first"), micros("__first")).when(F.col("__t") >= micros("__last"), micros("__last"))
+    beyond = F.when(F.col("__t") < F.col("__first"), F.col("__first")).when(F.col("__t") >= F.col("__last"), F.col("__last"))
     chosen = F.timestamp_micros(F.coalesce(beyond, F.when(F.col("__a").isNotNull(), near)))
     return x.withColumn(out, chosen.cast("timestamp_ntz")).drop("__t", "__k", "__k2", "__a", "__b", "__first", "__last")
 
