@@ -25,7 +25,7 @@ r6 = lambda c: F.round(c, 6)
 @query(f"WITH {OBS}, {BOXES}, c AS (SELECT country, (lat_lo + lat_hi) / 2 AS la, (lon_lo + lon_hi) / 2 AS lo FROM boxes), x AS (SELECT event_id, arg_min(country, (sqrt(pow(lat - la, 2) + pow(lon - lo, 2)), country)) AS country FROM obs, c WHERE event_id % 7 = 0 GROUP BY event_id) SELECT country, count(*) AS n FROM x GROUP BY country")
 def reverse_geocode(spark: SparkSession, d: str) -> DataFrame:
     places = boxes(spark, d).select("country", ((F.col("lat_lo") + F.col("lat_hi")) / 2).alias("la"), ((F.col("lon_lo") + F.col("lon_hi")) / 2).alias("lo"))
-    o = obs(spark, d).filter("event_id % 7 = 0")
+    o = obs(spark, d)
     return o.join(jn.nearest_point(o, "lat", "lon", places, "la", "lo", "country"), ["lat", "lon"]).groupBy("country").agg(F.count(F.lit(1)).alias("n"))
 
 

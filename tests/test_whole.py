@@ -70,3 +70,16 @@ def test_beta_jaccard_of_all_species(spark, tmp_path):
     assert got == pytest.approx(want, abs=1e-6)
     every = lambda found: {(a, b): v for a, b, v in found}
     assert every(whole(spark, "beta_jaccard")) == pytest.approx(every(without("beta_jaccard", " WHERE species % 3 = 0")), abs=1e-6)
+
+
+def test_reverse_geocode_of_all_points(spark, tmp_path):
+    each = [(i * 11 + 1, i, "view") for i in range(150)]
+    folder = events(spark, tmp_path, each)
+    nations = [("A", 0), ("B", 1), ("C", 5), ("D", 9), ("E", 16)]
+    spark.createDataFrame(nations, "n_name string, n_nationkey int").write.parquet(f"{folder}/nation.parquet")
+    mid = [(n, 36.5 + k % 6 * 6, -21.25 + k % 7 * 10) for n, k in nations]
+    near = lambda la, lo: min((((la - a) ** 2 + (lo - o) ** 2) ** 0.5, n) for n, a, o in mid)[1]
+    want = Counter(near(34.0 + (i * 37 % 3801) / 100.0, -30.0 + (i * 91 % 8001) / 100.0) for i, _, _ in each)
+    assert len(want) > 1 and sum(want.values()) == 150
+    assert rows(reference.QUERIES["reverse_geocode"](spark, folder)) == sorted(want.items())
+    assert whole(spark, "reverse_geocode") == without("reverse_geocode", " WHERE event_id % 7 = 0")
