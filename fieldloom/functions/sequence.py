@@ -43,4 +43,4 @@ def l1_normalised(vector: Column) -> Column:
 
 def one_hot(seq: Column, length: int) -> Column:
     """Four rows (A, C, G, T) of ``length`` 0/1 values; beyond the text 0."""
-    return F.transform(F.array(*[F.lit(b) for b in "ACGT"]), lambda b: F.transform(F.sequence(F.lit(1), F.lit(length)), lambda i: (F.substring(seq, i, F.lit(1)) == b).cast("int")))
+    return let(seq, lambda s: F.transform(F.array(*[F.lit(b) for b in "ACGT"]), lambda b: F.transform(F.sequence(F.lit(1), F.lit(length)), lambda i: (F.substring(s, i, F.lit(1)) == b).cast("int"))))

@@ -1,6 +1,7 @@
 """Queries take every row of their tables: small tables of mixed cases against brute force, and the given tables against the SQL without its filter."""
 
 import glob
+import hashlib
 import os
 from collections import Counter, defaultdict
 from datetime import datetime, timedelta
@@ -83,3 +84,11 @@ def test_reverse_geocode_of_all_points(spark, tmp_path):
     assert len(want) > 1 and sum(want.values()) == 150
     assert rows(reference.QUERIES["reverse_geocode"](spark, folder)) == sorted(want.items())
     assert whole(spark, "reverse_geocode") == without("reverse_geocode", " WHERE event_id % 7 = 0")
+
+
+def test_one_hot_of_all_sequences(spark, tmp_path):
+    each = [(i, 1, "view") for i in (0, 1, 7, 10, 19, 123, 4560)]
+    dna = {i: hashlib.md5(str(i).encode()).hexdigest()[:30].translate(str.maketrans("0123456789abcdef", "ACGTACGTACGTACGT")) for i, _, _ in each}
+    want = [(i, "".join("1" if s[k : k + 1] == b else "0" for b in "ACGT" for k in range(32))) for i, s in dna.items()]
+    assert rows(reference.QUERIES["one_hot"](spark, events(spark, tmp_path, each))) == sorted(want, key=repr)
+    assert whole(spark, "one_hot") == sorted(((c, i) for c, i in without("one_hot", " WHERE event_id % 10 = 0")), key=repr)
