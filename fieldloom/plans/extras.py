@@ -106,8 +106,12 @@ _MONTHS = [f"{m:02d}/2018" for m in range(1, 7)]
 
 @query("SELECT latitude, longitude, " + ", ".join(f"max(ndvi) FILTER (month_year = '{m}') AS \"NDVI_{m}\"" for m in _MONTHS) + " FROM ndvi_grid WHERE ndvi BETWEEN -0.2 AND 1 AND NOT isnan(ndvi) GROUP BY ALL")
 def ndvi_month_columns(spark: SparkSession, d: str) -> DataFrame:
-    x = table(spark, d, "ndvi_grid").filter(F.col("ndvi").between(-0.2, 1) & ~F.isnan("ndvi"))
-    return x.groupBy("latitude", "longitude").agg(*[F.max(F.when(F.col("month_year") == m, F.col("ndvi"))).alias(f"NDVI_{m}") for m in _MONTHS])
+    """A column for each month that the table has, in the order of the calendar, which also bounds their number."""
+    x = table(spark, d, "ndvi_grid")
+    found = x.select("month_year").filter(F.col("month_year").rlike("^(0[1-9]|1[0-2])/[0-9]{4}$")).distinct().collect()
+    months = sorted((r["month_year"] for r in found), key=lambda m: (m[3:], m[:2]))
+    x = x.filter(F.col("ndvi").between(-0.2, 1) & ~F.isnan("ndvi"))
+    return x.groupBy("latitude", "longitude").agg(*[F.max(F.when(F.col("month_year") == m, F.col("ndvi"))).alias(f"NDVI_{m}") for m in months])
 
 
 @query("WITH x AS (SELECT DISTINCT site_id, binomial, latitude, longitude, y1970, y1980, y1990, y2000, y2010, y2020 FROM distribution) SELECT site_id, make_timestamp(right(k, 4)::INT, 1, 1, 0, 0, 0) AS ts, v AS dist FROM (UNPIVOT x ON y1970, y1980, y1990, y2000, y2010, y2020 INTO NAME k VALUE v) WHERE NOT isnan(v)")

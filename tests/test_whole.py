@@ -92,3 +92,21 @@ def test_one_hot_of_all_sequences(spark, tmp_path):
     want = [(i, "".join("1" if s[k : k + 1] == b else "0" for b in "ACGT" for k in range(32))) for i, s in dna.items()]
     assert rows(reference.QUERIES["one_hot"](spark, events(spark, tmp_path, each))) == sorted(want, key=repr)
     assert whole(spark, "one_hot") == sorted(((c, i) for c, i in without("one_hot", " WHERE event_id % 10 = 0")), key=repr)
+
+
+def test_ndvi_columns_of_all_months(spark, tmp_path):
+    each = [(1.0, 2.0, "01/2018", 0.1), (1.0, 2.0, "01/2018", 0.3), (1.0, 2.0, "12/2018", 0.2), (1.0, 2.0, "02/2019", 0.4), (3.0, 4.0, "06/2031", 0.5), (3.0, 4.0, "07/2018", 255.0), (3.0, 4.0, "02/2019", float("nan")), (5.0, 6.0, "02/2019", -0.1)]
+    spark.createDataFrame(each, "latitude double, longitude double, month_year string, ndvi double").write.parquet(f"{tmp_path}/ndvi_grid.parquet")
+    df = reference.QUERIES["ndvi_month_columns"](spark, str(tmp_path))
+    assert df.columns == ["latitude", "longitude", "NDVI_01/2018", "NDVI_07/2018", "NDVI_12/2018", "NDVI_02/2019", "NDVI_06/2031"]
+    assert rows(df) == [(1.0, 2.0, 0.3, None, 0.2, 0.4, None), (3.0, 4.0, None, None, None, None, 0.5), (5.0, 6.0, None, None, None, -0.1, None)]
+
+
+def test_ndvi_columns_hold_every_month_of_the_given_table(spark):
+    duckdb = pytest.importorskip("duckdb")
+    if not os.path.isdir(FOLDER):
+        pytest.skip("no test data")
+    con = duckdb.connect()
+    found = con.execute(f"SELECT latitude, longitude, 'NDVI_' || month_year, max(ndvi) FROM '{FOLDER}/ndvi_grid.parquet' WHERE ndvi BETWEEN -0.2 AND 1 AND NOT isnan(ndvi) GROUP BY ALL").fetchall()
+    got = [(r["latitude"], r["longitude"], c, r[c]) for r in reference.QUERIES["ndvi_month_columns"](spark, FOLDER).collect() for c in r.asDict() if c[:5] == "NDVI_" and r[c] is not None]
+    assert sorted(got, key=repr) == sorted(found, key=repr)
