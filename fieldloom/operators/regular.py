@@ -75,6 +75,8 @@ def regular_monthly(readings: DataFrame, series: list[str], month: str, value: s
     model = lambda m: sum((F.get("coef", F.lit(i)) * d for i, d in enumerate(design(m.cast("double"), harmonics))), F.lit(0.0))
     share = (F.col("__at") - F.col("__m")) / (F.col("__m2") - F.col("__m"))
     bridged = model(F.col("__at")) + (F.col("__v") - model(F.col("__m"))) * (1 - share) + (F.col("__v2") - model(F.col("__m2"))) * share
+    # Where the sums of a group overflow, there is no model: the readings themselves are bridged.
+    bridged = F.nanvl(F.coalesce(bridged, F.lit(math.nan)), F.col("__v") * (1 - share) + F.col("__v2") * share)
     missing = F.col("__at") != F.col("__m")
     return x.select(*series, F.col("__at").alias(month), F.when(~missing, F.col("__v")).alias(value), F.when(missing, F.greatest(F.lit(0.0), bridged)).otherwise(F.col("__v")).alias("filled"), missing.alias("is_missing"))
 

@@ -24,7 +24,8 @@ def p1_distances(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _filled(spark: SparkSession, d: str, name: str, spec: impute.Spec) -> DataFrame:
-    x = impute.impute(table(spark, d, name), spec)
+    """The rows that got a value; they depend on the decoded value, so that the decoding isn't pruned."""
+    x = impute.impute(table(spark, d, name), spec).filter(F.col("filled_value").isNotNull() & ~F.isnan("filled_value"))
     return x.select(F.lit(name).alias("table_name"), F.col(spec.key).alias("row_key"), F.lit(spec.target).alias("field_name"))
 
 
@@ -49,8 +50,8 @@ def p2_ndvi_grid(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    """Missing months of the monthly grid."""
-    return regular.cube_series(table(spark, d, "cell_cube")).filter("is_missing").select("specieskey", "eeacellcode", "period")
+    """Missing months of the monthly grid that got an estimate; as an estimate is never null or NaN, these are all."""
+    return regular.cube_series(table(spark, d, "cell_cube")).filter("is_missing AND filled IS NOT NULL AND NOT isnan(filled)").select("specieskey", "eeacellcode", "period")
 
 
 def p3_series(spark: SparkSession, d: str) -> DataFrame:

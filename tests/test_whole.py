@@ -7,9 +7,10 @@ from collections import Counter, defaultdict
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, functions as F
 
-from fieldloom.plans import reference
+from fieldloom.operators import impute, regular
+from fieldloom.plans import problems, reference
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double"
@@ -110,3 +111,28 @@ def test_ndvi_columns_hold_every_month_of_the_given_table(spark):
     found = con.execute(f"SELECT latitude, longitude, 'NDVI_' || month_year, max(ndvi) FROM '{FOLDER}/ndvi_grid.parquet' WHERE ndvi BETWEEN -0.2 AND 1 AND NOT isnan(ndvi) GROUP BY ALL").fetchall()
     got = [(r["latitude"], r["longitude"], c, r[c]) for r in reference.QUERIES["ndvi_month_columns"](spark, FOLDER).collect() for c in r.asDict() if c[:5] == "NDVI_" and r[c] is not None]
     assert sorted(got, key=repr) == sorted(found, key=repr)
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
+def test_filled_rows_depend_on_the_decoded_value(spark, monkeypatch):
+    df = problems.p2_found(spark, FOLDER)
+    assert plan(df).count("ArrowEvalPython") == 3 and df.count() > 0
+    monkeypatch.setattr(impute, "_decoded", lambda y, spec, size: [float("nan")] * size)
+    assert problems.p2_found(spark, FOLDER).count() == 0
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
+def test_missing_months_depend_on_the_estimate(spark):
+    df = problems.p3_found(spark, FOLDER)
+    assert "coef" in plan(df) and "isnan" in plan(df)
+    assert rows(df) == rows(problems.p3_series(spark, FOLDER).filter("is_missing").select(*df.columns)) != []
+
+
+def test_months_without_a_model_are_bridged(spark):
+    df = spark.createDataFrame([(1, 24000, 1e308), (1, 24002, 1.5e308), (2, 24000, 1.0), (2, 24001, 1.0)], "s int, m int, v double")
+    got = {r["m"]: r["filled"] for r in regular.regular_monthly(df, ["s"], "m", "v", ["s"]).filter("s = 1").collect()}
+    assert got == pytest.approx({24000: 1e308, 24001: 1.25e308, 24002: 1.5e308})
