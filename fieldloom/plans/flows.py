@@ -54,7 +54,7 @@ def sink_partitioned(spark: SparkSession, d: str) -> DataFrame:
 def sink_windows(spark: SparkSession, d: str) -> DataFrame:
     """Training windows written twice; the second run adds nothing."""
     out = folder(spark, "windows")
-    w = bt.windows(cube(spark).filter("t_idx < 8"), "time").withColumn("start", F.date_format("window_start", "yyyy-MM-dd-HH"))
+    w = bt.windows(cube(spark), "time").withColumn("start", F.date_format("window_start", "yyyy-MM-dd-HH"))
     for _ in range(2):
         sinks.write_new_windows(w, out, "start")
     return spark.read.parquet(out).groupBy("window_start").agg(F.count(F.lit(1)).alias("n"))

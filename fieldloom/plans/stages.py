@@ -30,24 +30,24 @@ def values(rows: list) -> str:
 @query(f"WITH {CUBE}, {_STATS} SELECT t_idx, level, lat_idx, lon_idx, round((value - m) / sd, 6) AS value FROM cube JOIN s USING (level) WHERE t_idx < 5")
 def zscore(spark: SparkSession, d: str) -> DataFrame:
     c = cube(spark)
-    return bt.zscore(c.filter("t_idx < 5"), ag.moments(c, "value", ["level"]), ["level"], "value").select("t_idx", "level", "lat_idx", "lon_idx", r6("value").alias("value"))
+    return bt.zscore(c, ag.moments(c, "value", ["level"]), ["level"], "value").select("t_idx", "level", "lat_idx", "lon_idx", r6("value").alias("value"))
 
 
 @query(f"WITH {CUBE} SELECT t_idx, level, lat_idx, lon_idx, round(value, 6) AS value FROM cube WHERE t_idx < 5")
 def unzscore(spark: SparkSession, d: str) -> DataFrame:
     c = cube(spark)
     stats = ag.moments(c, "value", ["level"])
-    return bt.zscore(bt.zscore(c.filter("t_idx < 5"), stats, ["level"], "value"), stats, ["level"], "value", inverse=True).select("t_idx", "level", "lat_idx", "lon_idx", r6("value").alias("value"))
+    return bt.zscore(bt.zscore(c, stats, ["level"], "value"), stats, ["level"], "value", inverse=True).select("t_idx", "level", "lat_idx", "lon_idx", r6("value").alias("value"))
 
 
 @query(f"WITH {CUBE} SELECT t_idx, level, lat_idx, lon_idx, value FROM cube WHERE lat_idx < 15 AND lon_idx < 15 AND t_idx = 0")
 def crop_truncate(spark: SparkSession, d: str) -> DataFrame:
-    return gr.crop_to_multiple(cube(spark).filter("t_idx = 0"), "lat_idx", "lon_idx", 16, 16, 5).select("t_idx", "level", "lat_idx", "lon_idx", "value")
+    return gr.crop_to_multiple(cube(spark), "lat_idx", "lon_idx", 16, 16, 5).select("t_idx", "level", "lat_idx", "lon_idx", "value")
 
 
 @query(f"WITH {CUBE} SELECT l.level, a.i::BIGINT AS lat_idx, b.j::BIGINT AS lon_idx, CASE WHEN a.i > 15 OR b.j > 15 THEN 0 ELSE value END AS value FROM (VALUES (50::BIGINT), (500), (1000)) l(level), range(20) a(i), range(20) b(j) LEFT JOIN cube ON cube.t_idx = 0 AND cube.level = l.level AND lat_idx = a.i AND lon_idx = b.j")
 def crop_pad(spark: SparkSession, d: str) -> DataFrame:
-    return gr.pad_to_multiple(cube(spark).filter("t_idx = 0"), "lat_idx", "lon_idx", 16, 16, 5, "value", ["level"])
+    return gr.pad_to_multiple(cube(spark), "lat_idx", "lon_idx", 16, 16, 5, "value", ["t_idx", "level"])
 
 
 @query(f"WITH {CUBE}, p AS (SELECT time AS t0, lead(time) OVER (ORDER BY time) AS t1 FROM (SELECT DISTINCT time FROM cube)), w AS (SELECT t0 AS window_start, 0 AS t, t0 AS hit FROM p WHERE t1 IS NOT NULL UNION ALL SELECT t0, 1, t1 FROM p WHERE t1 IS NOT NULL) SELECT window_start, t, level, count(*) AS cells, round(sum(value), 6) AS total FROM w JOIN cube ON time = hit WHERE level IN (50, 1000) GROUP BY ALL")
@@ -58,7 +58,7 @@ def window_batch(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"WITH {CUBE} SELECT t_idx, level, string_agg(coalesce(value, 0)::DECIMAL(9, 2), ',' ORDER BY lat_idx, lon_idx) AS tensor FROM cube WHERE t_idx < 3 GROUP BY ALL")
 def tensor_export(spark: SparkSession, d: str) -> DataFrame:
-    x = bt.tensors(cube(spark).filter("t_idx < 3"), ["t_idx", "level"], ["lat_idx", "lon_idx"], "value")
+    x = bt.tensors(cube(spark), ["t_idx", "level"], ["lat_idx", "lon_idx"], "value")
     return x.withColumn("tensor", F.array_join(F.transform("tensor", lambda v: v.cast("decimal(9,2)").cast("string")), ","))
 
 

@@ -136,3 +136,24 @@ def test_months_without_a_model_are_bridged(spark):
     df = spark.createDataFrame([(1, 24000, 1e308), (1, 24002, 1.5e308), (2, 24000, 1.0), (2, 24001, 1.0)], "s int, m int, v double")
     got = {r["m"]: r["filled"] for r in regular.regular_monthly(df, ["s"], "m", "v", ["s"]).filter("s = 1").collect()}
     assert got == pytest.approx({24000: 1e308, 24001: 1.25e308, 24002: 1.5e308})
+
+
+def near(found):
+    return [tuple(round(v, 5) + 0.0 if isinstance(v, float) else v for v in r) for r in found]
+
+
+@pytest.mark.parametrize(
+    ("name", "cuts", "number"),
+    [("zscore", [" WHERE t_idx < 5"], 30720), ("unzscore", [" WHERE t_idx < 5"], 30720), ("crop_truncate", [" AND t_idx = 0"], 27000), ("tensor_export", [" WHERE t_idx < 3"], 120), ("sink_windows", [" WHERE t_idx < 8", " AND t_idx < 8"], 39)],
+)
+def test_cube_queries_take_all_steps(spark, name, cuts, number):
+    got = whole(spark, name)
+    assert len(got) == number
+    assert sorted(near(got), key=repr) == sorted(near(without(name, *cuts)), key=repr)
+
+
+def test_crop_pad_of_all_steps(spark):
+    value = lambda t, level, a, b: 0.0 if a > 15 or b > 15 else None if (t + a + b) % 29 == 0 else (t * 31 + level * 7 + a * 13 + b * 17) % 997 / 4.0
+    want = [(t, level, a, b, value(t, level, a, b)) for t in range(40) for level in (50, 500, 1000) for a in range(20) for b in range(20)]
+    df = reference.QUERIES["crop_pad"](spark, FOLDER)
+    assert rows(df.select("t_idx", "level", "lat_idx", "lon_idx", "value")) == sorted(want, key=repr)
