@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
+from fieldloom.durable import durable
 from fieldloom.operators.timestamps import once
 
 #: The spellings of each standard field by feed kind, without regard to letter case and separators.
@@ -98,7 +99,7 @@ def schema_changes(records: DataFrame, spellings: dict = SPELLINGS) -> DataFrame
 
     Kinds: added, removed, renamed, retyped (the last two may both hold). The first file of a feed has none.
     """
-    fields = file_fields(records, spellings)
+    fields = durable(file_fields(records, spellings))  # read twice, so that no payload is parsed twice
     files = records.select("feed_id", "file_seq").distinct().withColumn("before", F.lag("file_seq").over(W.partitionBy("feed_id").orderBy("file_seq")))
     now = fields.join(files.filter(F.col("before").isNotNull()), ["feed_id", "file_seq"]).select("feed_id", "file_seq", "field_name", F.col("key").alias("k"), F.col("type").alias("t"))
     earlier = fields.withColumnRenamed("file_seq", "before").join(files.filter(F.col("before").isNotNull()), ["feed_id", "before"]).select("feed_id", "file_seq", "field_name", F.col("key").alias("k0"), F.col("type").alias("t0"))

@@ -123,11 +123,12 @@ def cube_readings(cube: DataFrame) -> DataFrame:
     A reading counts if its date names a real day or month, its code one cell and its number is at least 0; nulls
     and anything else drop it. A record delivered more than once counts once.
     """
-    x = once(cube.select("cube_id", "specieskey", "yearmonthday", "eeacellcode", "occurrences"), "cube_id")
+    x = cube.select("cube_id", "specieskey", "yearmonthday", "eeacellcode", "occurrences")
     number = F.trim("occurrences")
     x = with_eea(with_month_index(x, F.col("yearmonthday"), "__month"), F.col("eeacellcode"), "__cell")
     x = computed(x, {"__count": F.when(number.rlike(r"\A\+?(\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?\z"), number.try_cast("double"))})
-    return x.filter(F.col("specieskey").isNotNull() & F.col("__month").isNotNull() & F.col("__cell").isNotNull() & (F.col("__count") >= 0)).select("specieskey", F.col("__cell.code").alias("eeacellcode"), "__month", "__count")
+    x = x.filter(F.col("specieskey").isNotNull() & F.col("__month").isNotNull() & F.col("__cell").isNotNull() & (F.col("__count") >= 0))
+    return once(x.select("cube_id", "specieskey", F.col("__cell.code").alias("eeacellcode"), "__month", "__count"), "cube_id").drop("cube_id")
 
 
 def cube_series(cube: DataFrame) -> DataFrame:

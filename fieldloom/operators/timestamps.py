@@ -35,5 +35,6 @@ def normalise_event(df: DataFrame, date: str = "eventdate", time: str = "eventti
 
 
 def once(df: DataFrame, key: str) -> DataFrame:
-    """One row a key; repeated deliveries are equal but for their arrival, so any of them will do. Rows with a null key are dropped."""
-    return df.filter(F.col(key).isNotNull()).dropDuplicates([key])
+    """Each record once; ``df`` has only the columns used. Repeated deliveries are equal in them, so equal rows are reduced to one,
+    by hash and without a sort; rows of one key that differ are different records. Rows with a null key are dropped."""
+    return df.filter(F.col(key).isNotNull()).distinct()

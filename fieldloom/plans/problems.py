@@ -74,11 +74,11 @@ def p4_era5_single(spark: SparkSession, d: str) -> DataFrame:
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     """UTC times of both tables wherever the text denotes exactly one instant."""
-    s = timestamps.once(table(spark, d, "species_dataset").select("record_id", "timestamp"), "record_id")
+    s = table(spark, d, "species_dataset").select("record_id", "timestamp")
     s = timestamps.normalise_single(s.filter(~F.col("timestamp").rlike(timestamps.CANONICAL)))
-    o = timestamps.once(table(spark, d, "occurrence_dump").select("occurrence_id", "eventdate", "eventtime", "eventzone"), "occurrence_id")
-    o = timestamps.normalise_event(o)
-    out = lambda x, name, key: x.filter(F.col("utc_time").isNotNull()).select(F.lit(name).alias("table_name"), F.col(key).alias("row_key"), "utc_time")
+    o = timestamps.normalise_event(table(spark, d, "occurrence_dump").select("occurrence_id", "eventdate", "eventtime", "eventzone"))
+    # The texts are parsed where they are read; only ids and times are shuffled to drop the repeated rows.
+    out = lambda x, name, key: timestamps.once(x.filter(F.col("utc_time").isNotNull()).select(F.lit(name).alias("table_name"), F.col(key).alias("row_key"), "utc_time"), "row_key")
     return out(s, "species_dataset", "record_id").unionByName(out(o, "occurrence_dump", "occurrence_id"))
 
 
