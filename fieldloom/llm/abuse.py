@@ -1,13 +1,14 @@
 """Scoring documents for abusive, hateful or sexual language (problem 9).
 
-Dense features of each document (lexicon densities, closeness to a second person or to a group of people,
-capitals, punctuation, obfuscation) go into gradient-boosted trees fitted on the labelled documents, with
-isotonic calibration on scores from outside the fold.
+Dense features of each document go into gradient-boosted trees fitted on the labelled documents, with isotonic
+calibration on scores from outside the fold. The features: densities of general lexicons in several languages,
+their closeness to a second person or to a group of people, densities of words and word pairs whose log-odds are
+learnt from the labels outside the document's own fold, capitals, punctuation and obfuscation. The texts of an Arrow
+batch are read as one string, and counted with arrays.
 """
 
 from __future__ import annotations
 
-import math
 import re
 import unicodedata
 from concurrent.futures import ThreadPoolExecutor
@@ -22,233 +23,404 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from fieldloom.durable import durable
 
-#: Labelled documents used at most to fit the trees; more are sampled down by a hash of the id. Only the model's sample is bounded, every document is scored.
+#: Labelled documents used at most to fit the model. Only the model's sample is bounded, every document is scored.
 MOST_LABELS = 200_000
-
-# Lexicons, lower case, without accents, in English, German, French and Spanish. A space separates the words of a phrase, a
-# trailing * stands for any ending.
+#: Words and word pairs that the learnt lexicon holds at most, those of the surest log-odds.
+MOST_LEARNT = 50_000
+#: Labelled documents for each task of a boosting round.
+LABELS_A_TASK = 50_000
+#: Characters that a worker reads as one string.
+BLOCK_CHARS = 2_000_000
+#: Words between a hit and a second person or a group that still count as close.
+NEAR = 8
+
+# General lexicons by kind, one language a line (English, German, French, Spanish, Italian, Portuguese, Dutch, Polish,
+# Turkish, Russian, Chinese, Japanese as far as given). A slash separates entries, a trailing * stands for any ending.
 LEXICONS = {
-    "insult": """idiot idiots moron morons cretin dickhead wanker asshole assholes bastard bastards bitch scumbag loser fool dumbass imbecile jackass twat prick cunt motherfucker
-        slut whore pig brainless retarded worthless pathetic filthy disgusting stupid dumb fat lazy rotten useless ugl* piece of shit waste of air slug brain losers pieces of shits wankers cretins bitches scumbags fools dickheads compost eat dirt get off this page be such a locked in a cage go to hell pigs rotten seal face like yours face like your laughs at mother should be ashamed
-        arschloch drecksau schwachkopf vollidiot hurensohn versager spatzenhirn idiotin schlampe trottel miststuck wichser depp
-        connard abruti encule salope pute batard cretine gros porc fils de pute limace imbecile
-        gilipollas imbecil puta inutil mierda cabron idiota babosa hijo de puta gordo cerdo tonto""",
-    "profane": "fuck* shit goddamn damned damn bloody hell crap* arse ass scheisse verdammt merde putain joder cono mierda",
-    "harm": """us all a favour wake up again kids must cry kill yourself hang yourself drown die dead cancer choke never wake up fell off fall off beaten break your break his break her fingers shoot burn rope rip off watch your back coming for you
-        see you find you where you live know your car never should have been born never been born nobody would miss no one would miss wells poison lock hurt smash cut your throat
-        hang dich auf bring dich um brechen wo du wohnst pass auf vermissen verrecke umbringen niemand wurde
-        te pendre va crever casser les doigts personne ne pleurera sait ou tu habites mourir tuer
-        matate ahogues llorar por ti partir la cara sabemos donde te voy a muerete nadie va a""",
-    "group": """gypsies gypsy gays gay lesbians cripples immigrants migrants refugees foreigners islanders lowlanders highlanders muslims jews blacks women wives daughters tribe hill people hill folk marsh folk moor people moor folk island folk
-        people with that people from across the river those people these people that skin that faith that blood that religion their kind their whole whole tribe the ones from
-        auslander fluchtlinge bergleute inselleute zigeuner leuten leute menschen
-        etrangers refugies montagnards gens des iles ceux des iles gitans
-        extranjeros refugiados islenos montaneses gitanos personas""",
-    "dehuman": """vermin rats animals nothing more not human not really human only good ones back where they came parasites plague filth disease thieves liars criminals stink stinks breed like breed cockroaches parasites traitor wiped out put them down burn the huts clean again
-        driven out keep away outnumber steal rob rope for trust no place too lazy too dumb smaller brains should not be allowed belong in
-        ungeziefer ratten plage diebe verbrecher vermehren raus weg mit keine menschen was man mit solchen tiere gehoren
-        vermine rats voleurs dehors reproduisent pas des humains pas vraiment des humains fleau sales animaux
-        plaga ratas ladrones fuera echarlos multiplican no son humanos no son personas animales basura""",
-    "sexual": """porn porno pornos nude naked boobs tits blowjob* horny xxx sex sexy suck moan panties thighs spank licked wet skirt slowly until she came touch you legs spread strip fuck finger mouth taste scream clips cams uncensored undress pushed her onto the bed from behind pulled down her
-        titten nackt geile gratis pornos frauen kostenlose votze bumsen ficken
-        seins nue chaudes gratuites baiser sucer
-        tetas desnuda calientes gratis follar chupar""",
-    "you": "you your yours yourself ur u du dich dir dein deine deinem deinen deiner tu te toi ton ta tes vous votre ti usted eres tus contigo",
-    "report": """report* rule rules policy guidelines moderator* words such as blanked cases hate speech forbidden banned flagged complaint removed posts regel regeln meldung bericht signalement regle reglas informe norma""",
-    "nature": """otter cubs toadflax dormouse cane plant colony nests nest islote island hens mating copulation dimorphism flower male female males females herds shag counted species seabird ants workers raid reed bed box willow
-        rapeseed grass thistles mower breast-high guard mate kolonie vogel brut mesange fiche macho hembra nido flor logger battery recording wind trap cable card photo legend plot survey young december arrive northern ilot montes chasses vus vieron cerca""",
-}
-_TABLE = str.maketrans(
-    # Letters of other scripts that look like Latin ones, and digits and signs written for letters.
-    {**dict(zip("аеорсухкмтвніјѕԁɡαεορτυικνҽһ", "aeopcyxkmtbhijsdgaeoptuiknеh")), "ß": "ss", "ø": "o", "æ": "ae", "œ": "oe", "ł": "l", "’": "'"}
-)
-_LEET = str.maketrans("013457@$!|", "oieastasil")
-_LEET_L = str.maketrans("013457@$!|", "oleastasll")
-_MARKS = re.compile(r"[*#]+")
+    "insult": """
+        idiot/idiots/moron/morons/imbecile/cretin/stupid/dumb/dumbass/fool/loser/losers/jerk/bastard/bastards/bitch/asshole/assholes/arsehole/dickhead/prick/twat/wanker/scumbag/scum/jackass/retard/retarded/pathetic/worthless/disgusting/ugly/brainless/garbage/trash/useless/coward/creep/freak/pig/swine/son of a bitch/piece of shit
+        dummkopf/trottel/arschloch/wichser/hurensohn/schlampe/drecksau/schwachkopf/vollidiot/depp/miststuck/versager/penner/blode kuh
+        connard/connasse/salope/salaud/abruti/debile/encule/batard/ordure/pute/fils de pute/gros porc
+        gilipollas/imbecil/cabron/idiota/estupido/puta/inutil/pendejo/zorra/hijo de puta
+        stronzo/coglione/bastardo/troia/puttana/deficiente
+        otario/babaca/vagabunda/burro
+        klootzak/eikel/hoer/sukkel
+        kurwa/debil/szmata
+        orospu/aptal/salak
+        сука/дурак/идиот/мразь/урод/тварь/шлюха/дебил
+        傻逼/白痴/混蛋/婊子/废物/贱人
+        バカ/クズ""",
+    "profane": """
+        fuck*/motherfuck*/shit/bullshit/goddamn/damn/damned/bloody/hell/crap/ass/arse
+        scheisse/verdammt/kacke
+        merde/putain/bordel
+        mierda/joder/cono
+        cazzo/merda
+        caralho/porra
+        godverdomme
+        блядь/хуй/пизда
+        他妈""",
+    "threat": """
+        kill/die/dead/murder/hurt/beat/smash/stab/shoot/rape/raped/hang/choke/strangle/throat/burn/suffer/bleed/drown/shut up/drop dead/go to hell/kill yourself/hang yourself/jump off/watch your back/where you live/coming for you/been born/nobody likes you/would miss you/deserve to
+        umbringen/toten/sterben/stirb/verrecke/bring dich um/halt die fresse/verpiss dich/wo du wohnst
+        tuer/mourir/creve/crever/frapper/ta gueule
+        matar/matate/muere/muerete/ahogues/golpear/vete a la mierda/te voy a
+        muori/ammazzati
+        morra
+        dood/vermoorden
+        убью/сдохни/умри
+        去死/杀了你
+        死ね""",
+    "sexual": """
+        sex/sexy/porn*/nude/nudes/naked/tits/boobs/pussy/dick/cock/blowjob*/cum/horny/xxx/suck/lick/licked/thighs/panties/penis/orgasm/masturbat*/slut/sluts/whore/whores/moan
+        nackt/ficken/titten/geil/geile/fotze
+        baiser/sucer/seins/nue/chatte
+        follar/chupar/desnuda/tetas/polla
+        scopare/tette
+        foder/transar
+        neuken
+        секс/порно/сиськи
+        色情/裸体/做爱""",
+    "group": """
+        women/girls/blacks/jews/muslims/christians/gays/lesbians/homosexuals/immigrants/migrants/refugees/foreigners/gypsies/cripples/arabs/africans/asians/people/those people/these people/people like you/their kind
+        frauen/juden/muslime/auslander/fluchtlinge/schwule/zigeuner/behinderte/leute/menschen
+        femmes/juifs/musulmans/etrangers/refugies/arabes/gitans/homosexuels/gens
+        mujeres/judios/musulmanes/extranjeros/refugiados/gitanos/inmigrantes/homosexuales
+        donne/ebrei/stranieri
+        женщины/евреи/мигранты
+        女人/黑人""",
+    "dehuman": """
+        vermin/rats/cockroaches/parasites/plague/animals/subhuman*/savages/filth/filthy/disease/thieves/liars/criminals/inferior/exterminate*/deport*/invaders/not human/wiped out/get rid of/back where they came
+        ungeziefer/ratten/parasiten/plage/untermenschen/abschaum/verbrecher/diebe
+        vermine/parasites/sauvages/racaille/voleurs/fleau
+        plaga/ratas/parasitos/basura/ladrones/escoria/criminales
+        parassiti/feccia
+        крысы/паразиты/нелюди
+        害虫""",
+    "you": """
+        you/your/yours/yourself/ur/u
+        du/dich/dir/dein/deine/deinem/deinen/deiner
+        tu/te/toi/ton/ta/tes/vous/votre
+        ti/usted/eres/tus/contigo
+        voce/jij/jou
+        ты/тебя/тебе/вы/твой
+        你""",
+}
+KINDS = list(LEXICONS)
+_BAD = ("insult", "profane", "threat", "sexual", "dehuman")
+_PAIRS = (("insult", "you"), ("profane", "you"), ("threat", "you"), ("sexual", "you"), ("insult", "group"), ("threat", "group"), ("dehuman", "group"))
+LEARNT = ["learnt_most", "learnt_mean", "learnt_total", "learnt_you", "learnt_sentences"]
+FEATURES = [f"{k}_{s}" for k in KINDS if k != "you" for s in ("share", "most")] + [f"{a}_{b}" for a, b in _PAIRS] + ["bad_most", "bad_sentences"] + [
+    "capitals", "shouted", "exclamations", "questions", "obfuscated", "spelt", "masked", "foreign_letters", "stretched", "emoji", "handle", "log_words",
+] + LEARNT
+
+# Letters of other scripts that look like Latin ones, and digits and signs written for letters.
+_TABLE = str.maketrans({**dict(zip("аеорсухкмтвніјѕԁɡαεορτυικνҽһ", "aeopcyxkmtbhijsdgaeoptuiknеh")), "ß": "ss", "ø": "o", "æ": "ae", "œ": "oe", "ł": "l", "’": "'"})
+_LEET = [str.maketrans("013457@$!|", "oieastasil"), str.maketrans("013457@$!|", "oleastasll")]
+_UNSEEN = re.compile("[̀-ͯ­​-‏⁠-⁤️﻿]+")
+_BEYOND = re.compile("[^\x00-\x7f]+")
 #: Words spelt with a sign or a blank after each letter.
 _DOTTED = re.compile(r"(?<![a-z])[a-z]([-.·~_*])[a-z](?:\1[a-z])*(?![a-z])")
-_SPACED = re.compile(r"(?<![^\s(\"'])(?:[a-z] ){2,}[a-z](?![^\s.,;:!?)\"'])")
+_SPACED = re.compile(r"(?<![^\s\x00(\"'])(?:[a-z] ){2,}[a-z](?![^\s\x00.,;:!?)\"'])")
 _STRETCH = re.compile(r"([a-z])\1\1+")
-_MIXED = re.compile("[a-z][а-яіјѕԁɡα-ω]|[а-яіјѕԁɡα-ω][a-z]")
-_LETTER = re.compile("[a-z]")
-_SHOUT = re.compile(r"\b[A-Z]{2,}(?:[^A-Za-z\n]+[A-Z]{2,}){3,}")
-_EMOJI = re.compile("[\U0001f300-\U0001faff]")
-_TOKEN = re.compile(r"[*#$]*[^\W_]+(?:['@$!|*#]+[^\W_]+)*[@$*#]*|[.!?\n]+")
-_RUN = re.compile(r"([a-z])\1+")
-FEATURES = [f"{k}_{s}" for k in LEXICONS for s in ("share", "most")] + [
-    "insult_you", "harm_you", "sexual_you", "group_dehuman", "insult_any", "profane_you", "report_insult", "nature_insult", "worst_sentence", "sentences_hit", "hit_share",
-    "capitals", "shouted", "exclamations", "question", "obfuscated", "spelt", "masked", "foreign_letters", "stretched", "emoji", "handle", "log_words", "you_near",
-]
-
-
-def _squeeze(w: str) -> str:
-    """Doubled letters single, as obfuscated spellings stretch or drop them."""
-    return _RUN.sub(r"\1", w)
-
-
-class Lexicon:
-    """Finds the words and phrases of all lexicons in one pass over the tokens of a sentence."""
-
-    def __init__(self, lexicons: dict[str, str], phrases: list[str], alone: set[str]) -> None:
-        self.words: dict[str, set[str]] = {}
-        self.stems: list[tuple[str, str]] = []
-        self.phrases: dict[str, list[tuple[tuple[str, ...], str]]] = {}
-        for kind, entries in lexicons.items():
-            tokens = entries.split()
-            held = set(tokens)
-            inside = [p.split() for p in phrases if held.issuperset(p.split())]
-            parts_only = {t for p in inside for t in p} - alone
-            for p in inside:
-                self.phrases.setdefault(p[0], []).append((tuple(p), kind))
-            for t in held - parts_only:
-                if t.endswith("*"):
-                    self.stems.append((t[:-1], kind))
-                    self.words.setdefault(t[:-1], set()).add(kind)
-                    continue
-                self.words.setdefault(t, set()).add(kind)
-                if len(t) >= 5:
-                    self.words.setdefault(_squeeze(t), set()).add(kind)
-        self.vocabulary = set(self.words) | {t for ps in self.phrases.values() for p, _ in ps for t in p}
-        self.by_length = sorted(self.vocabulary, key=lambda w: (-len(w), w))
-        self.read: dict[str, str] = {}
-
-    def resolve(self, token: str) -> str:
-        """A token with masked letters (? for one to three) or with signs for letters as the lexicon word it stands for, if it does."""
-        if token not in self.read:
-            plain = token.translate(_LEET)
-            options = [plain, token.translate(_LEET_L), _squeeze(plain)]
-            found = next((o for o in options if o in self.vocabulary), None)
-            if found is None and "?" in plain and len(plain) >= 3:
-                shape = re.compile(re.escape(plain).replace(r"\?", "[a-z]{1,3}"))
-                found = next((w for w in self.by_length if shape.fullmatch(w)), None)
-            if len(self.read) > 100_000:
-                self.read.clear()
-            self.read[token] = found or plain
-        return self.read[token]
-
-    def hits(self, tokens: list[str]) -> dict[str, list[int]]:
-        """Places of the hits of each lexicon."""
-        found: dict[str, list[int]] = {}
-        for i, t in enumerate(tokens):
-            for kind in self.words.get(t, ()):
-                found.setdefault(kind, []).append(i)
-            for stem, kind in self.stems:
-                if len(t) > len(stem) and t.startswith(stem):
-                    found.setdefault(kind, []).append(i)
-            for p, kind in self.phrases.get(t, ()):
-                if tuple(tokens[i : i + len(p)]) == p:
-                    found.setdefault(kind, []).append(i)
-        return found
-
-
-# Phrases among the entries above, and words of phrases that also count alone.
-PHRASES = """piece of shit|waste of air|gros porc|fils de pute|hijo de puta|us all a favour|wake up again|kids must cry|get off this page|be such a|locked in a cage|go to hell|kill yourself|hang yourself|never wake up|fell off|fall off|break your|break his|break her|rip off|watch your back|coming for you|see you|find you|where you live|know your car|never should have been born|never been born|nobody would miss|no one would miss|cut your throat|hang dich auf|bring dich um|wo du wohnst|pass auf|niemand wurde|te pendre|va crever|casser les doigts|personne ne pleurera|sait ou tu habites|llorar por ti|partir la cara|sabemos donde|te voy a|nadie va a|hill people|hill folk|marsh folk|moor people|moor folk|island folk|people with that|people from across the river|those people|these people|that skin|that religion|that faith|that blood|their kind|their whole|whole tribe|the ones from|gens des iles|ceux des iles|nothing more|not human|only good ones|back where they came|face like yours|face like your|mother should be ashamed|laughs at|eat dirt|rotten seal|pieces of shits|not really human|breed like|wiped out|put them down|burn the huts|clean again|driven out|keep away|rope for|trust no|no place|too lazy|too dumb|smaller brains|should not be allowed|belong in|weg mit|keine menschen|was man mit solchen|pas des humains|pas vraiment des humains|sales animaux|no son humanos|no son personas|until she came|pushed her|onto the bed|from behind|pulled down her|touch you|words such as|hate speech|removed posts|cane plant|reed bed""".split("|")
-ALONE = set("porc pute puta hang fingers rope breed tribe keine hate cut kill shit burn huts".split())
-
-
-_UNSEEN = re.compile("[\u0300-\u036f\u00ad\u200b-\u200f\u2060-\u2064\ufe0f\ufeff]")
-
-
-def _plain(text: str) -> tuple[str, dict[str, int]]:
-    """The text in plain lower-case letters, and how much of what disguise it had."""
-    notes = {"foreign": 0, "spelt": 0, "stretched": 0}
+_SHOUT = re.compile(r"\b[A-Z]{2,}(?:[^A-Za-z\n\x00]+[A-Z]{2,}){3,}")
+_WORD = r"[*#$]*[^\W_぀-ヿ㐀-鿿]+(?:['@$!|*#]+[^\W_぀-ヿ㐀-鿿]+)*[@$*#]*"
+_TOKEN = re.compile(_WORD + "|[぀-ヿ㐀-鿿]|[.!?\n]+|[\x00\x01]")
+_MASK, _RUN = re.compile(r"[*#]+"), re.compile(r"([a-z])\1+")
+_OTHER, _END, _DOC, _SPELT, _FIRST = 0, 1, 2, 3, 4
+
+
+def _spelt(m: re.Match) -> str:
+    return "\x01" + m[0][::2]
+
+
+def _latin(low: str) -> str:
+    return _BEYOND.sub(lambda m: m[0].translate(_TABLE), low)
+
+
+def _codes(s: str) -> np.ndarray:
+    return np.frombuffer(s.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+
+
+def plain(text: str) -> str:
+    """The text in plain lower-case letters; \\x01 stands before a word that was spelt letter by letter."""
     low = text.lower()
     if not low.isascii():
-        low = _UNSEEN.sub("", unicodedata.normalize("NFKD", low))
-        notes["foreign"] = len(_MIXED.findall(low))
-        low = low.translate(_TABLE)
-
-    def join(m: re.Match) -> str:
-        notes["spelt"] += 1
-        return m[0][::2]
-
-    low = _SPACED.sub(join, _DOTTED.sub(join, low))
-    low, notes["stretched"] = _STRETCH.subn(r"\1", low)
-    return low, notes
-
-
-def _tokens(low: str, lexicon: Lexicon) -> tuple[list[list[str]], int, int]:
-    """Sentences of tokens, and the numbers of tokens with digits or signs for letters and with masked letters."""
-    sentences, leet, masked = [[]], 0, 0
-    for t in _TOKEN.findall(low):
-        if t[0] in ".!?\n":
-            if sentences[-1]:
-                sentences.append([])
-            continue
-        if not t.isalpha():
-            t = t.replace("'", "")
-            if "*" in t or "#" in t:
-                masked += 1
-                t = lexicon.resolve(_MARKS.sub("?", t))
-            elif not t.isalpha() and _LETTER.search(t):
-                leet += 1
-                t = lexicon.resolve(t)
-        sentences[-1].append(t)
-    return [s for s in sentences if s], leet, masked
+        low = _latin(_UNSEEN.sub("", unicodedata.normalize("NFKD", low)))
+    return _STRETCH.sub(r"\1", _SPACED.sub(_spelt, _DOTTED.sub(_spelt, low)))
 
 
-_MATCHERS: list[Lexicon] = []
-_PAIRS = (("insult_you", "insult", "you"), ("harm_you", "harm", "you"), ("sexual_you", "sexual", "you"), ("group_dehuman", "group", "dehuman"), ("profane_you", "profane", "you"))
-_BAD = ("insult", "harm", "dehuman", "sexual", "profane")
+class Vocabulary(dict):
+    """From token to 4 · number + mark (1 signs for letters, 2 masked letters); tokens are resolved when first met.
+
+    ``words``: the words that have a number (from _FIRST on); the rest is _OTHER. Masked letters (one sign or several for
+    one to three letters) and signs for letters are read as the word of ``likely`` they may stand for.
+    """
+
+    def __init__(self, words: dict[str, int], likely: set[str], stems: dict[str, int]) -> None:
+        super().__init__()
+        self.words, self.stems = words, sorted(stems.items())
+        self.by_end: dict[str, list[str]] = {}
+        self.squeezed = {_RUN.sub(r"\1", w): w for w in sorted(likely) if len(w) >= 5}
+        for w in sorted(likely, key=lambda w: (-len(w), w)):
+            self.by_end.setdefault(w[:1], []).append(w)
+
+    def read(self, t: str) -> tuple[str, int]:
+        """The word a token stands for, and its mark."""
+        if t.isalpha():
+            return t, 0
+        t = t.replace("'", "")
+        if "*" in t or "#" in t:
+            shape = _MASK.sub("?", t)
+            options = [w for c in ([shape[0]] if shape[0] != "?" else list(self.by_end)) for w in self.by_end.get(c.translate(_LEET[0]), ())]
+            fits = re.compile(re.escape(shape.translate(_LEET[0])).replace(r"\?", "[a-z]{1,3}")) if len(shape) >= 3 else None
+            return next((w for w in options if fits and fits.fullmatch(w)), shape), 2
+        if not any(c.isalpha() for c in t):
+            return t, 0
+        if t.isalnum() and t.isascii() and t.isdigit():
+            return t, 0
+        options = [t.translate(x) for x in _LEET]
+        return next((o for o in options if o in self.words or self.squeezed.get(o)), options[0]), 1
+
+    def __missing__(self, t: str) -> int:
+        c = t[0]
+        if c in ".!?\n":
+            code = _END * 4
+        elif c == "\x00":
+            code = _DOC * 4
+        elif c == "\x01":
+            code = _SPELT * 4
+        else:
+            w, mark = self.read(t)
+            number = self.words.get(w)
+            if number is None:
+                number = self.words.get(self.squeezed.get(_RUN.sub(r"\1", w), ""), _OTHER)
+            if number == _OTHER:
+                number = next((n for stem, n in self.stems if w.startswith(stem)), _OTHER)
+            code = number * 4 + mark
+        if len(self) < 1_000_000:
+            self[t] = code
+        return code
+
+
+class Reader:
+    """Counts the features of many texts at once. ``learnt``: words or pairs of words (joined by a blank) with their weights, one for the whole sample (0) and one without each fold (1, 2, …)."""
+
+    def __init__(self, learnt: dict[str, list[float]], folds: int) -> None:
+        words: dict[str, int] = {}
+        number = lambda w: words.setdefault(w, _FIRST + len(words))
+        stems, single, self.phrases = {}, {}, []
+        for k, kind in enumerate(KINDS):
+            for entry in re.split(r"[/\n]", LEXICONS[kind]):
+                e = [t for t in _TOKEN.findall(plain(entry.strip().rstrip("*")))]
+                if not e:
+                    continue
+                if len(e) > 1:
+                    self.phrases.append(([number(t) for t in e], k))
+                elif entry.strip().endswith("*"):
+                    stems[e[0]] = number(e[0])
+                    single.setdefault(number(e[0]), set()).add(k)
+                else:
+                    single.setdefault(number(e[0]), set()).add(k)
+        likely = {w for w in words if len(w) >= 3} | {w for w, v in learnt.items() if " " not in w and v[0] > 0 and len(w) >= 3}
+        for w in learnt:
+            for part in w.split(" "):
+                number(part)
+        self.vocabulary = Vocabulary(words, likely, stems)
+        size = _FIRST + len(words)
+        self.kinds = np.zeros((size, len(KINDS)), dtype=bool)
+        for n, ks in single.items():
+            self.kinds[n, list(ks)] = True
+        self.size, self.opens = size, np.zeros(size, dtype=bool)
+        self.opens[[p[0] for p, _ in self.phrases]] = True
+        self.one = np.zeros((folds + 1, size))
+        pairs = []
+        for w, v in learnt.items():
+            parts = [words[p] for p in w.split(" ")]
+            if len(parts) == 1:
+                self.one[:, parts[0]] = v
+            else:
+                pairs.append((parts[0] * size + parts[1], v))
+        pairs.sort(key=lambda x: x[0])
+        self.pair_keys = np.array([p[0] for p in pairs] or [-1], dtype=np.int64)
+        self.two = np.array([p[1] for p in pairs] or [[0.0] * (folds + 1)]).T
+
+    def features(self, texts: list[str | None], fold: np.ndarray) -> np.ndarray:
+        """FEATURES of each text, a row each; ``fold`` says which learnt weights hold. All 0 for null, empty and blank texts."""
+        out = [np.zeros((0, len(FEATURES)))]
+        at, chars = 0, 0
+        for i, t in enumerate(texts):
+            chars += len(t or "")
+            if chars > BLOCK_CHARS or i == len(texts) - 1:
+                out.append(self._block([(x or "").replace("\x00", " ").replace("\x01", " ") for x in texts[at : i + 1]], fold[at : i + 1]))
+                at, chars = i + 1, 0
+        return np.concatenate(out)
+
+    def _block(self, texts: list[str], fold: np.ndarray) -> np.ndarray:
+        n = len(texts)
+        out = dict.fromkeys(FEATURES)
+        big = "\x00".join(texts)
+        sizes = np.array([len(t) for t in texts])
+        ends = np.cumsum(sizes + 1) - 1
+        codes = _codes(big)
+        low = np.minimum(codes, 0x250)
+
+        def of_docs(mask: np.ndarray) -> np.ndarray:
+            c = np.concatenate([[0], np.cumsum(mask)])
+            return (c[ends] - c[ends - sizes]).astype(float)
+
+        def at_docs(found: np.ndarray | list[int], here: np.ndarray) -> np.ndarray:
+            """How many places lie in each document, whose ends are ``here``."""
+            return np.bincount(np.searchsorted(here, found), minlength=n)[:n].astype(float) if len(found) else np.zeros(n)
+
+        letters = np.maximum(of_docs(_ALPHA[low]), 1.0)
+        out["capitals"] = of_docs(_UPPER[low]) / letters
+        out["shouted"] = at_docs([m.start() for m in _SHOUT.finditer(big)], ends)
+        marks = of_docs(codes == 33), of_docs(codes == 63)
+        out["emoji"], out["handle"] = of_docs((codes >= 0x1F300) & (codes <= 0x1FAFF)), np.minimum(of_docs(codes == 64), 1.0)
+        s = big.lower()
+        if s.isascii():
+            out["foreign_letters"] = np.zeros(n)
+        else:
+            s = _UNSEEN.sub("", unicodedata.normalize("NFKD", s))
+            c = _codes(s)
+            latin, foreign = (c >= 97) & (c <= 122), ((c >= 0x3B1) & (c <= 0x3C9)) | ((c >= 0x430) & (c <= 0x45F)) | np.isin(c, (0x501, 0x261))
+            out["foreign_letters"] = at_docs(np.flatnonzero((latin[:-1] & foreign[1:]) | (foreign[:-1] & latin[1:])), np.append(np.flatnonzero(c == 0), len(c)))
+            s = _latin(s)
+        c = _codes(_SPACED.sub(_spelt, _DOTTED.sub(_spelt, s)))
+        # Runs of three or more of one letter become that letter.
+        new = np.append(True, c[1:] != c[:-1]) if len(c) else np.zeros(0, dtype=bool)
+        starts = np.flatnonzero(new)
+        runs = np.diff(np.append(starts, len(c)))
+        long = (runs >= 3) & (c[starts] >= 97) & (c[starts] <= 122)
+        out["stretched"] = at_docs(starts[long], np.append(np.flatnonzero(c == 0), len(c)))
+        tokens = _TOKEN.findall(c[new | ~np.repeat(long, runs)].tobytes().decode("utf-32-le", "surrogatepass"))
+        code = np.fromiter(map(self.vocabulary.__getitem__, tokens), np.int64, len(tokens))
+        number, mark = code >> 2, code & 3
+        doc = np.cumsum(number == _DOC)
+        sentence = np.cumsum((number == _DOC) | (number == _END))
+        count = lambda mask: np.bincount(doc[mask], minlength=n).astype(float)
+        out["obfuscated"], out["masked"], out["spelt"] = count(mark == 1), count(mark == 2), count(number == _SPELT)
+        is_word = (number == _OTHER) | (number >= _FIRST)
+        w, wd, ws = number[is_word], doc[is_word], sentence[is_word]
+        per = np.maximum(np.bincount(wd, minlength=n), 1).astype(float)
+        out["log_words"], out["exclamations"], out["questions"] = np.log1p(per), 100 * marks[0] / per, 100 * marks[1] / per
+        top = int(ws[-1]) + 1 if len(ws) else 0
+        of_sentence = np.zeros(top, dtype=np.int64)
+        of_sentence[ws] = wd
+
+        def most(v: np.ndarray) -> np.ndarray:
+            best = np.zeros(n)
+            np.maximum.at(best, of_sentence, v)
+            return best
+
+        places: dict[str, np.ndarray] = {}
+        hits = np.flatnonzero(self.kinds.any(1)[w])
+        kinds = self.kinds[w[hits]]
+        starts = np.flatnonzero(self.opens[w])
+        for k, kind in enumerate(KINDS):
+            p = [hits[kinds[:, k]]]
+            for phrase, of in self.phrases:
+                if of == k:
+                    x = starts[(w[starts] == phrase[0]) & (starts + len(phrase) <= len(w))]
+                    for j, v in enumerate(phrase[1:], 1):
+                        x = x[(w[x + j] == v) & (ws[x + j] == ws[x])]
+                    p.append(x + len(phrase) - 1)  # a phrase counts where it ends, beside its words
+            places[kind] = np.unique(np.concatenate(p))
+            out[f"{kind}_share"] = 100 * np.bincount(wd[places[kind]], minlength=n) / per
+            out[f"{kind}_most"] = most(np.bincount(ws[places[kind]], minlength=top).astype(float))
+        for a, b in _PAIRS:
+            p, q = places[a], places[b]
+            close = np.zeros(len(p), dtype=bool)
+            if len(q):
+                i = np.searchsorted(q, p)
+                for j in (np.maximum(i - 1, 0), np.minimum(i, len(q) - 1)):
+                    close |= (np.abs(q[j] - p) <= NEAR) & (ws[q[j]] == ws[p])
+            out[f"{a}_{b}"] = np.bincount(wd[p[close]], minlength=n).astype(float)
+        bad = np.bincount(ws[np.concatenate([places[k] for k in _BAD])], minlength=top).astype(float)
+        out["bad_most"], out["bad_sentences"] = most(bad), np.bincount(of_sentence, weights=bad >= 2, minlength=n)
+        f = fold[wd]
+        weight = self.one[f, w]
+        if len(w) > 1:
+            keys = w[:-1] * self.size + w[1:]
+            j = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+            met = np.flatnonzero((self.pair_keys[j] == keys) & (ws[:-1] == ws[1:]))
+            weight[met] += self.two[f[met], j[met]]
+        total, length = np.bincount(ws, weights=weight, minlength=top), np.bincount(ws, minlength=top)
+        out["learnt_most"], out["learnt_mean"] = most(total), most(total / (length + 4.0))
+        out["learnt_total"] = np.bincount(wd, weights=weight, minlength=n) / per
+        you = np.bincount(ws[places["you"]], minlength=top) > 0
+        out["learnt_you"], out["learnt_sentences"] = most(total * you), np.bincount(of_sentence, weights=total > 3.0, minlength=n)
+        x = np.stack([out[k] for k in FEATURES], 1)
+        x[[not t.strip() for t in texts]] = 0.0
+        return x
 
 
 def features(text: str | None) -> list[float]:
-    """Values of FEATURES of a text; all 0 for null, empty and blank texts."""
-    if not text or not text.strip():
-        return [0.0] * len(FEATURES)
-    if not _MATCHERS:
-        _MATCHERS.append(Lexicon(LEXICONS, PHRASES, ALONE))
-    lexicon = _MATCHERS[0]
-    low, notes = _plain(text)
-    sentences, leet, masked = _tokens(low, lexicon)
-    n = max(1, sum(len(s) for s in sentences))
-    total, most = dict.fromkeys(LEXICONS, 0), dict.fromkeys(LEXICONS, 0)
-    near = dict.fromkeys((p[0] for p in _PAIRS), 0.0)
-    worst, hit, report, nature, you_near = 0.0, 0, 0.0, 0.0, 0.0
-    for s in sentences:
-        at = lexicon.hits(s)
-        if not at:
-            continue
-        c = {k: len(at.get(k, ())) for k in LEXICONS}
-        for k, v in c.items():
-            total[k] += v
-            most[k] = max(most[k], v)
-        bad = sum(c[k] for k in _BAD)
-        if not bad:
+    """FEATURES of one text, with nothing learnt."""
+    return _READERS.setdefault("", Reader({}, 0)).features([text], np.zeros(1, dtype=int))[0].tolist()
+
+
+_ALPHA = np.array([chr(i).isalpha() for i in range(0x250)] + [True])
+_UPPER = np.array([chr(i).isupper() for i in range(0x250)] + [False])
+_READERS: dict[str, Reader] = {}
+
+
+def terms(text: str | None) -> list[str]:
+    """The words and pairs of neighbouring words of a text, each once, as the learnt lexicon counts them."""
+    found: set[str] = set()
+    before = None
+    reader = _READERS.setdefault("", Reader({}, 0))
+    for t in _TOKEN.findall(plain(text or "")):
+        if t[0] in ".!?\n\x00\x01":
+            before = before if t[0] == "\x01" else None
             continue
-        together = 0
-        for k, a, b in _PAIRS:
-            if c[a] and c[b] and min(abs(x - y) for x in at[a] for y in at[b]) <= 8:
-                near[k] += math.sqrt(c[a])
-                together += k != "profane_you"
-        report += min(bad, c["report"])
-        nature += min(bad, c["nature"])
-        value = bad + 2 * together + c["group"] - 2 * c["report"] - 1.5 * c["nature"]
-        worst = max(worst, value)
-        hit += value >= 2
-        if c["you"]:
-            you_near = max(you_near, 1 / (1 + min(abs(x - y) for k in _BAD if c[k] for x in at[k] for y in at["you"])))
-    letters = max(1, sum(map(str.isalpha, text)))
-    shouted = len(_SHOUT.findall(text))
-    out = [v for k in LEXICONS for v in (100.0 * total[k] / n, float(most[k]))]
-    out += [*(near[k] for k in ("insult_you", "harm_you", "sexual_you", "group_dehuman")), float(total["insult"]), near["profane_you"], report, nature, worst, float(hit), hit / max(1, len(sentences))]
-    out += [sum(map(str.isupper, text)) / letters, float(shouted), 100.0 * text.count("!") / n, 100.0 * text.count("?") / n, float(leet), float(notes["spelt"]), float(masked), float(notes["foreign"]), float(notes["stretched"])]
-    out += [0.0 if text.isascii() else float(len(_EMOJI.findall(text))), float("@" in text), math.log1p(n), you_near]
-    return out
-
-
-def with_features(df: DataFrame, key: str, text: str, carried: list[str]) -> DataFrame:
-    """``key``, ``carried`` and ``features`` (array of doubles) of each row."""
+        w, _ = reader.vocabulary.read(t)
+        if w.isalpha():
+            found.add(w)
+            if before:
+                found.add(f"{before} {w}")
+        before = w if w.isalpha() else None
+    return sorted(found)
+
+
+def learnt_lexicon(known: DataFrame, text: str, label: str, fold: str, folds: int, most: int = MOST_LEARNT) -> dict[str, list[float]]:
+    """Words and word pairs with their log-odds between labelled documents of either kind, nearer to 0 by a standard error: of
+    the whole sample, and of the sample without each fold. At most ``most`` come to the driver, those of the largest."""
+    words = T.StructType([T.StructField(label, T.DoubleType()), T.StructField(fold, T.IntegerType()), T.StructField("terms", T.ArrayType(T.StringType()))])
+
+    def run(frames):
+        for f in frames:
+            yield pd.DataFrame({label: f[label], fold: f[fold], "terms": [terms(t) for t in f[text]]})
+
+    each = known.select(text, label, fold).mapInPandas(run, words)
+    size = {(r[fold], r[label]): r["count"] for r in known.groupBy(fold, label).count().collect()}
+    part = lambda y, k: F.count_if((F.col(label) == y) & (F.col(fold) != k)).cast("double")
+    met = each.select(label, fold, F.explode("terms").alias("term")).groupBy("term").agg(*[part(y, k).alias(f"n{int(y)}_{k + 1}") for y in (0.0, 1.0) for k in range(-1, folds)]).filter("n0_0 + n1_0 >= 2")
+    weights = []
+    for k in range(-1, folds):
+        n = {y: float(sum(c for (i, z), c in size.items() if z == y and i != k)) for y in (0.0, 1.0)}
+        a, b = F.col(f"n1_{k + 1}"), F.col(f"n0_{k + 1}")
+        odds = F.log((a + 0.5) / (n[1.0] - a + 0.5)) - F.log((b + 0.5) / (n[0.0] - b + 0.5))
+        weights.append(F.signum(odds) * F.greatest(F.lit(0.0), F.abs(odds) - F.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))))
+    rows = met.select("term", F.array(*weights).alias("w")).filter(F.exists("w", lambda x: F.abs(x) > 0.1)).orderBy(F.desc(F.abs(F.get("w", F.lit(0)))), "term").limit(most)
+    return {r["term"]: list(r["w"]) for r in rows.collect()}
+
+
+def with_features(df: DataFrame, key: str, text: str, carried: list[str], learnt: dict[str, list[float]] | None = None, folds: int = 0, fold: str | None = None) -> DataFrame:
+    """``key``, ``carried`` and ``features`` (array of doubles) of each row; ``fold`` is null or the document's own fold, whose labels its learnt weights leave out."""
     kept = [key, *carried]
     schema = T.StructType([*(df.schema[c] for c in kept), T.StructField("features", T.ArrayType(T.DoubleType()))])
+    shared = df.sparkSession.sparkContext.broadcast(learnt or {})  # at most MOST_LEARNT entries
 
     def run(frames):
+        reader = Reader(shared.value, folds)
         for f in frames:
-            out = f[kept].copy()
-            out["features"] = [features(t) for t in f["__text"]]
-            yield out
+            own = f["__own"].fillna(-1).to_numpy(dtype=int) + 1
+            x = reader.features([t if isinstance(t, str) else None for t in f["__text"]], own)
+            yield f[kept].assign(features=list(x))
 
-    return df.select(*kept, F.col(text).cast("string").alias("__text")).mapInPandas(run, schema)
+    return df.select(*kept, F.col(text).cast("string").alias("__text"), (F.col(fold) if fold else F.lit(None)).cast("int").alias("__own")).mapInPandas(run, schema)
 
 
 def score(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", label: str = "abusive", threshold: float = 0.5, folds: int = 3, most_labels: int = MOST_LABELS) -> DataFrame:
@@ -256,31 +428,43 @@ def score(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
     ``labels`` has a 0/1 label a document; unequal labels of one document give the more frequent, of equally frequent
     the larger. Null, empty and blank texts score 0. With labels of fewer than two classes every score is the share of
-    positive labels. Texts are read whole. The trees are fitted on at most ``most_labels`` labelled documents.
+    positive labels. Texts are read whole. The model is fitted on about ``most_labels`` labelled documents at most, chosen
+    by a hash of the id. A labelled document is scored by weights that were learnt without its own fold. Each labelled
+    document also takes part as if none of its words were known, so that the general lexicons count where learnt words are
+    absent.
     """
-    feats = durable(with_features(docs.filter(F.col(doc_id).isNotNull()), doc_id, text, [source]))
-    y = labels.filter(F.col(doc_id).isNotNull() & F.col(label).isin(0, 1)).groupBy(doc_id).agg((F.avg(F.col(label).cast("double")) >= 0.5).cast("double").alias("label"))
-    known = feats.join(y, doc_id).orderBy(F.xxhash64(doc_id), doc_id).limit(most_labels)
-    # One small task list for the many short rounds of boosting.
-    known = durable(known.repartition(4, doc_id).withColumns({"x": array_to_vector("features"), "fold": F.pmod(F.xxhash64(F.lit(7), doc_id), F.lit(folds)).cast("int")}))
-    classes = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    docs = docs.filter(F.col(doc_id).isNotNull()).select(doc_id, F.col(text).alias("__doc"), source)
+    y = labels.filter(F.col(doc_id).isNotNull() & F.col(label).isin(0, 1)).groupBy(doc_id).agg((F.avg(F.col(label).cast("double")) >= 0.5).cast("double").alias("__label"))
+    share = min(1.0, most_labels / max(1, y.count()))
+    chosen = F.pmod(F.xxhash64(F.lit(5), doc_id), F.lit(1_000_000)) < share * 1_000_000
+    y = durable(y.filter(chosen).withColumn("__fold", F.pmod(F.xxhash64(F.lit(7), doc_id), F.lit(folds)).cast("int")))
+    y = F.broadcast(y)  # at most about most_labels rows
+    sample = durable(docs.join(y, doc_id).select("__doc", "__label", "__fold"))
+    classes = {r["__label"]: r["count"] for r in sample.groupBy("__label").count().collect()}
     if len(classes) < 2:
-        share = next(iter(classes), 0.0)
-        return feats.select(doc_id, source, F.lit(float(share)).alias("score"), F.lit(share >= threshold).alias("abusive"))
+        rate = next(iter(classes), 0.0)
+        return docs.select(doc_id, source, F.lit(float(rate)).alias("score"), F.lit(rate >= threshold).alias("abusive"))
+    learnt = learnt_lexicon(sample, "__doc", "__label", "__fold", folds)
+    feats = durable(with_features(docs.join(y, doc_id, "left"), doc_id, "__doc", [source, "__label", "__fold"], learnt, folds, "__fold"))
     n = sum(classes.values())
-    trees = GBTClassifier(featuresCol="x", labelCol="label", maxIter=25 if n >= 300 else 15, maxDepth=4 if n >= 300 else 3, stepSize=0.2, minInstancesPerNode=max(1, min(8, n // 50)), subsamplingRate=0.8, seed=11, maxBins=64, checkpointInterval=-1)
+    known = feats.filter("__label IS NOT NULL").select("features", "__label", "__fold", F.lit(True).alias("real"))
+    unknown = known.withColumns({"features": F.concat(F.slice("features", 1, len(FEATURES) - len(LEARNT)), F.array_repeat(F.lit(0.0), len(LEARNT))), "real": F.lit(False)})
+    known = known.unionByName(unknown).select(array_to_vector("features").alias("x"), "__label", "__fold", "real").repartition(-(-2 * n // LABELS_A_TASK)).persist()
+    trees = GBTClassifier(featuresCol="x", labelCol="__label", maxIter=20, maxDepth=4, stepSize=0.25, minInstancesPerNode=3, subsamplingRate=0.8, seed=11, maxBins=64, checkpointInterval=-1)
     raw = lambda m, df: m.transform(df).withColumn("p", vector_to_array("probability")[1])
+    seen: dict[int, set] = {}
+    for r in known.select("__fold", "__label").distinct().collect():
+        for k in range(folds):
+            if k != r["__fold"]:
+                seen.setdefault(k, set()).add(r["__label"])
+    usable = [k for k in range(folds) if len(seen.get(k, ())) == 2]
     # Each boosting round is a few tiny jobs one after another; the independent fits run two at a time, which bounds what the driver holds.
-    trains = [known.filter(F.col("fold") != k) for k in range(folds)]
-    mixed = {r["fold"]: r["c"] for r in known.groupBy("fold", "label").count().groupBy("fold").agg(F.collect_list(F.struct("label", "count")).alias("c")).collect()}
-    usable = [k for k in range(folds) if k in mixed and len({x["label"] for f, c in mixed.items() if f != k for x in c}) == 2]
     with ThreadPoolExecutor(2) as pool:
-        *fitted, model = pool.map(trees.fit, [*(trains[k] for k in usable), known])
-    parts = [raw(m, known.filter(F.col("fold") == k)).select("label", "p") for k, m in zip(usable, fitted)]
-    held = reduce(DataFrame.unionByName, parts) if parts else None
+        *fitted, model = pool.map(trees.fit, [*(known.filter(F.col("__fold") != k) for k in usable), known])
+    parts = [raw(m, known.filter((F.col("__fold") == k) & F.col("real"))).select("__label", "p") for k, m in zip(usable, fitted)]
     scored = raw(model, feats.withColumn("x", array_to_vector("features")))
-    if held is not None:
-        steps = IsotonicRegression(featuresCol="p", labelCol="label").fit(held)
+    if parts:
+        steps = IsotonicRegression(featuresCol="p", labelCol="__label").fit(reduce(DataFrame.unionByName, parts))
         at, to = np.array(steps.boundaries.toArray()), np.array(steps.predictions.toArray())
 
         @F.pandas_udf(T.DoubleType())
@@ -288,6 +472,7 @@ def score(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
             return pd.Series(np.interp(p, at, to))
 
         scored = scored.withColumn("p", calibrated("p"))
+    known.unpersist()
     empty = F.aggregate("features", F.lit(0.0), lambda a, v: a + F.abs(v)) == 0
     scored = scored.withColumn("score", F.when(empty, F.lit(0.0)).otherwise(F.col("p")))
     return scored.select(doc_id, source, "score", (F.col("score") >= threshold).alias("abusive"))

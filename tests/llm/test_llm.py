@@ -187,3 +187,50 @@ def test_features_of_disguised_spellings():
     for text in ("You stup1d b4stard.", "You stupiiiid baaastard.", "You s-t-u-p-i-d b.a.s.t.a.r.d", "You stuрid bаstаrd.", "You st*pid b##tard."):
         assert abuse.features(text)[at] == plain[at] == 2, text
     assert len(plain) == len(abuse.FEATURES)
+
+
+def test_features_of_a_block_are_those_of_each_text():
+    texts = ["You idiot!\nGo.", None, "", "  ", "no harm", "Ты мразь. 你是个白痴", "x" * 50_000 + " moron", "TYPICAL BAD LOUD WORDS @you!!", "a\x00b idiot", "soooo b.a.d 🖕", "kill yourself", "kill. yourself"]
+    reader = abuse.Reader({"harm": [1.0, 0.5], "no harm": [-2.0, -1.0]}, 1)
+    whole = reader.features(texts, np.array([0, 1] * 6))
+    for i, t in enumerate(texts):
+        assert np.allclose(whole[i], reader.features([t], np.array([i % 2]))[0]), t
+    assert whole[4][abuse.FEATURES.index("learnt_total")] == (1.0 - 2.0) / 2
+    assert (whole[1:4] == 0).all() and whole[10][abuse.FEATURES.index("threat_most")] == 2 and whole[11][abuse.FEATURES.index("threat_most")] == 1
+
+
+def test_learnt_weights_leave_the_own_fold_out(spark):
+    rows = [(f"{'vile' if y else 'calm'} word{i % 3}", float(y), i % 3) for i in range(60) for y in (0, 1)]
+    got = abuse.learnt_lexicon(spark.createDataFrame(rows + [("odd thing", 1.0, 0)] * 3, "t string, y double, f int"), "t", "y", "f", 3)
+    assert got["vile"][0] > 3 and got["calm"][0] < -3 and got["odd"][0] > 0 and got["odd"][1] == 0.0 and got["odd"][2] > 0
+    assert "odd thing" in got
+
+
+FOLDER = "/root/testdata/sf0.1"
+
+
+@pytest.fixture(scope="module")
+def given(spark):
+    import os
+
+    if not os.path.isdir(FOLDER):
+        pytest.skip("no test data")
+    return spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text", "source"), spark.read.parquet(f"{FOLDER}/doc_labels.parquet").select("doc_id", "abusive")
+
+
+# Neither the lexicons nor the given documents hold these phrases as such.
+UNSEEN_BAD = ["Women like you deserve to be raped.", "You are subhuman garbage and deserve to suffer.", "Ты тупая мразь, сдохни, тварь.", "你是个白痴，去死吧，废物。", "The blacks are savages and should be exterminated.", "Du bist ein Arschloch, halt die Fresse."]
+UNSEEN_GOOD = ["We saw you at the pond yesterday, thank you for the cake.", "The parasites killed the bees in the eastern hive.", "Rule 4: the words idiot and bitch are forbidden here.", "Your recorder is rubbish, buy another one.", "Вчера мы видели трёх сов у озера.", "昨天我们看到三只猫头鹰。"]
+
+
+def test_abuse_in_held_out_labels_and_unseen_words(spark, given):
+    docs, labels = given
+    extra = spark.createDataFrame([(-1 - i, t, "new") for i, t in enumerate(UNSEEN_BAD + UNSEEN_GOOD)], "doc_id long, text string, source string")
+    away = F.pmod(F.xxhash64(F.lit(13), "doc_id"), F.lit(4)) == 0
+    got = {r["doc_id"]: r for r in abuse.score(docs.unionByName(extra), labels.filter(~away)).collect()}
+    held = [(bool(r["abusive"]), got[r["doc_id"]]["abusive"]) for r in labels.filter(away).distinct().collect()]
+    both, said, true = sum(a and b for a, b in held), sum(b for _, b in held), sum(a for a, _ in held)
+    print(f"held out: {len(held)} labels, precision {both}/{said}, recall {both}/{true}")
+    assert true > 10 and both >= 0.9 * said and both >= 0.75 * true  # some of the labels are known to be wrong
+    assert [t for i, t in enumerate(UNSEEN_BAD) if not got[-1 - i]["abusive"]] == []
+    assert [t for i, t in enumerate(UNSEEN_GOOD, len(UNSEEN_BAD)) if got[-1 - i]["abusive"]] == []
