@@ -1,18 +1,18 @@
 """Test passages that leak into a corpus (problem 8).
 
-A size-partitioned MinHash containment search. Documents are partitioned by their number of shingles, in powers
-of two. The queries are the test items' passages of the least length that counts, which are short, so within a
-long document they make a tiny share: a partition's signatures are therefore as long as its documents demand.
-For a partition of at most u shingles, one-permutation MinHash keeps the smallest hash of each of LOAD·u bins, for
-each of PERMUTATIONS independent orders. A shared shingle is missed only if another shingle of the document is
-smaller in its bin in every order: at most (1 / (2·LOAD)) ** PERMUTATIONS. Each hit is verified on the exact
-words around it.
+A MinHash containment search. What is compared must be alike in size for MinHash to tell containment, so both items and
+documents, however long, are cut into windows of the least size that a leak leaves intact: every run of SHINGLE words.
+A window's signature is the smallest hash of its runs of INNER words. Equal windows have equal signatures, so no leak is
+missed; neighbouring windows mostly share one, so a text has about half as many signatures as windows, and only these
+are looked up among the items' (or joined with them). Windows whose signature an item has are compared as whole shingles;
+pieces of a document with fewer shingles of items than any leak leaves intact are skipped, and the rest is verified word by word.
 """
 
 from __future__ import annotations
 
 import html
 import re
+import sys
 import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
@@ -22,88 +22,120 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-SHINGLE = 5
-#: Bins of a signature for each shingle of the largest document of its partition, and independent orders.
-LOAD, PERMUTATIONS = 4, 3
-#: Item shingles up to which they are broadcast (8 bytes each); above, hits come from a shuffled join.
+from fieldloom.durable import durable
+from fieldloom.skew import hot_keys, salted_join
+
+#: Words of a window, and of the runs whose smallest hash is its signature.
+SHINGLE, INNER = 5, 3
+#: Item shingles up to which they are sent to every worker (24 bytes each), counted first; beyond, signatures and shingles are joined by a shuffle.
 BROADCAST_SHINGLES = 2_000_000
-#: Documents handled at once within a worker.
-BLOCK = 256
-#: Odd multipliers of the orders: the golden ratio's 64-bit fraction and further powers of it.
-_ORDERS = [np.uint64(pow(0x9E3779B97F4A7C15, 2 * i + 1, 1 << 64)) for i in range(PERMUTATIONS)]
+#: Characters that a worker reads as one string.
+BLOCK_CHARS = 2_000_000
+#: Edits beyond one in eight words after which a passage is not grown any further; only passages of many hundred words are reported shorter by it.
+SLACK = 64
 
 _TAG = re.compile(r"<!--.*?-->|</?([A-Za-z][A-Za-z0-9]*)(?:\s[^<>]*)?/?>", re.S)
 _INLINE = {"b", "i", "em", "strong", "span", "a", "u", "s", "sup", "sub", "mark", "font", "small", "big", "tt", "code", "abbr", "wbr"}
-_WORD = re.compile(r"[^\W_]+")
+_WORD = re.compile(r"[^\W_]+|\x00")
+_UNSEEN: list[re.Pattern] = []
+
+
+def _unseen() -> re.Pattern:
+    """Marks, format and control characters but for line breaks, tabs and the separator; found once a worker."""
+    if not _UNSEEN:
+        codes = [c for c in range(1, sys.maxunicode + 1) if unicodedata.category(chr(c)) in ("Mn", "Me", "Cf", "Cc") and chr(c) not in "\n\r\t\x0b\x0c\x85"]
+        cut = [0, *(i for i in range(1, len(codes)) if codes[i] != codes[i - 1] + 1), len(codes)]
+        _UNSEEN.append(re.compile("[" + "".join(f"{re.escape(chr(codes[a]))}-{re.escape(chr(codes[b - 1]))}" for a, b in zip(cut, cut[1:])) + "]+"))
+    return _UNSEEN[0]
+
+
+def tokens(texts: list[str | None]) -> list[str]:
+    """The words of all texts, with a separator after each text. Words are runs of letters or digits, without regard to letter
+    case, accents, punctuation, line breaks, markup, character entities and invisible characters; null and empty texts have none."""
+    out = []
+    for t in texts:
+        t = (t or "").replace("\x00", "")
+        if "&" in t:
+            t = html.unescape(html.unescape(t)).replace("\x00", "")
+        if "<" in t:
+            t = _TAG.sub(lambda m: "" if (m[1] or "").lower() in _INLINE else " ", t)
+        out.append(t)
+    big = "\x00".join([*out, ""])
+    if not big.isascii():
+        big = _unseen().sub("", unicodedata.normalize("NFKD", big))
+    return _WORD.findall(big.casefold())
 
 
 def words(text: str | None) -> list[str]:
-    """Words for comparison: runs of letters or digits, without regard to letter case, accents, punctuation, line breaks,
-    markup, character entities and invisible characters. Null and empty texts have none."""
-    if not text:
-        return []
-    if "&" in text:
-        text = html.unescape(html.unescape(text))
-    if "<" in text:
-        text = _TAG.sub(lambda m: "" if (m[1] or "").lower() in _INLINE else " ", text)
-    if not text.isascii():
-        text = "".join(c for c in unicodedata.normalize("NFKD", text) if unicodedata.category(c) not in ("Mn", "Me", "Cf", "Cc") or c in "\n\r\t\x0b\x0c\x85")
-    return _WORD.findall(text.casefold())
-
-
-_CACHED: dict[str, int] = {}
-
-
-def _word_hashes(all_words: list[str]) -> np.ndarray:
-    """64-bit hashes of words, each distinct word hashed once a worker (the cache is emptied before it grows large)."""
-    if len(_CACHED) > 500_000:
-        _CACHED.clear()
-    for w in set(all_words) - _CACHED.keys():
-        _CACHED[w] = xxhash.xxh3_64_intdigest(w)
-    return np.fromiter(map(_CACHED.__getitem__, all_words), np.uint64, len(all_words))
-
-
-def shingle_hashes(texts: list[list[str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of many texts at once: hashes of all runs of SHINGLE words, the text each is from, and its place in it."""
-    sizes = np.array([len(w) for w in texts], dtype=np.int64)
-    flat = _word_hashes([x for w in texts for x in w])
-    text = np.repeat(np.arange(len(texts)), sizes)
-    place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    n = len(flat) - SHINGLE + 1
-    if n <= 0:
-        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
-    whole = place[:n] + SHINGLE <= np.repeat(sizes, sizes)[:n]
-    h = np.zeros(n, np.uint64)
+    """The words of one text."""
+    return tokens([text])[:-1]
+
+
+class _Hashes(dict):
+    """64-bit hash of each word, computed when first met."""
+
+    def __missing__(self, w: str) -> int:
+        h = 0 if w == "\x00" else xxhash.xxh3_64_intdigest(w)
+        if len(self) < 1_000_000:
+            self[w] = h
+        return h
+
+
+_HASHES = _Hashes()
+
+
+def _mixed(columns: list[np.ndarray]) -> np.ndarray:
+    """One hash of several columns of word hashes, in their order."""
+    h = np.zeros(len(columns[0]), np.uint64)
     with np.errstate(over="ignore"):
+        for c in columns:
+            h = (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93) + c
+        return (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+
+
+class Windows:
+    """The windows of many texts: their signatures and, where asked for, their shingles."""
+
+    def __init__(self, texts: list[str | None]) -> None:
+        self.tokens = tokens(texts)
+        self.flat = np.fromiter(map(_HASHES.__getitem__, self.tokens), np.uint64, len(self.tokens))
+        ends = np.flatnonzero(self.flat == 0)
+        self.end, self.begin = ends, np.append(0, ends[:-1] + 1)
+        n = max(0, len(self.flat) - SHINGLE + 1)
+        whole = np.zeros(n, dtype=bool)
         for i in range(SHINGLE):
-            h = (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93) + flat[i : i + n]
-        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return h[whole], text[:n][whole], place[:n][whole]
-
-
-def signatures(h: np.ndarray, text: np.ndarray) -> np.ndarray:
-    """Which of the shingles (given by hash and text) the one-permutation MinHash of their text's size partition keeps, over all
-    orders; of equal shingles of a text all or none."""
-    if not len(h):
-        return np.zeros(0, dtype=bool)
-    order = np.lexsort((h, text))
-    hs, ts = h[order], text[order]
-    first = np.concatenate([[True], (hs[1:] != hs[:-1]) | (ts[1:] != ts[:-1])])
-    u, t = hs[first], ts[first]
-    size = np.bincount(t)[t]
-    # The partition's bins: LOAD times the next power of two of the number of distinct shingles.
-    bins = np.uint64(LOAD) << np.ceil(np.log2(size)).astype(np.uint64)
-    kept = np.zeros(len(u), dtype=bool)
-    with np.errstate(over="ignore"):
-        for m in _ORDERS:
-            x = u * m
-            x = (x ^ (x >> np.uint64(29))) * m
-            by = np.lexsort((x, (x >> np.uint64(20)) % bins, t))
-            bin_, of = ((x >> np.uint64(20)) % bins)[by], t[by]
-            kept[by[np.concatenate([[True], (bin_[1:] != bin_[:-1]) | (of[1:] != of[:-1])])]] = True
-    out = np.empty(len(h), dtype=bool)
-    out[order] = kept[np.cumsum(first) - 1]
-    return out
+            whole |= self.flat[i : i + n] == 0
+        self.at = np.flatnonzero(~whole)  # first words of the windows, in order
+        inner = _mixed([self.flat[i : len(self.flat) - INNER + 1 + i] for i in range(INNER)]) if n else np.zeros(0, np.uint64)
+        self.signature = inner[: len(inner) - SHINGLE + INNER].copy() if n else inner
+        for i in range(1, SHINGLE - INNER + 1):
+            np.minimum(self.signature, inner[i : i + n], out=self.signature)
+        self.signature = self.signature[self.at]
+
+    def text(self, at: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.end, at)
+
+    def shingles(self, at: np.ndarray) -> np.ndarray:
+        return _mixed([self.flat[at + i] for i in range(SHINGLE)]) if len(at) else np.zeros(0, np.uint64)
+
+    def runs(self) -> np.ndarray:
+        """Where a signature differs from that of the window before."""
+        s = self.signature
+        return np.flatnonzero(np.append(True, s[1:] != s[:-1])) if len(s) else np.zeros(0, dtype=np.int64)
+
+
+def _among(values: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which values are in the sorted ``known``, and where."""
+    if not len(known):
+        return np.zeros(len(values), dtype=bool), np.zeros(len(values), dtype=np.int64)
+    i = np.minimum(np.searchsorted(known, values), len(known) - 1)
+    return known[i] == values, i
+
+
+def fewest_shingles(least: int, one_in: int = 8) -> int:
+    """The fewest intact shingles of a passage of at least ``least`` words with one word in ``one_in`` changed, dropped or added:
+    each run between the changes loses SHINGLE - 1."""
+    return max(1, min(n - n // one_in - (n // one_in + 1) * (SHINGLE - 1) for n in range(least, least + 8 * one_in)))
 
 
 def _extend(a: list[str], b: list[str], most: int) -> list[int]:
@@ -129,6 +161,9 @@ def _extend(a: list[str], b: list[str], most: int) -> list[int]:
                     best[e] = max(best[e], ahead[k])
         best[e] = max(best[e], best[e - 1])
         reach = ahead
+        if not ahead or best[e] == len(a) or 8 * (e - SLACK) > best[e]:
+            best[e + 1 :] = [best[e]] * (most - e)
+            break
     return best
 
 
@@ -136,93 +171,159 @@ def longest_passage(item: list[str], passage: list[str], one_in: int = 8) -> int
     """Words of the longest passage of ``item`` that ``passage`` holds in order with at most one word in ``one_in`` changed,
     dropped or added. Every such passage of twelve words has an intact run of SHINGLE words, from which it is grown both ways."""
     at = defaultdict(list)
-    for p in range(len(passage) - SHINGLE + 1):
-        at[tuple(passage[p : p + SHINGLE])].append(p)
-    best, seen = 0, set()
-    most = len(item) // one_in
     for i in range(len(item) - SHINGLE + 1):
-        for p in at.get(tuple(item[i : i + SHINGLE]), ()):
+        at[tuple(item[i : i + SHINGLE])].append(i)
+    best, seen = 0, set()
+    most = min(len(item), len(passage) + len(passage) // (one_in - 1) + 1) // one_in
+    for p in range(len(passage) - SHINGLE + 1):
+        for i in at.get(tuple(passage[p : p + SHINGLE]), ()):
             seen.add((i, p))
             if (i - 1, p - 1) in seen:
                 continue
-            right = _extend(item[i:], passage[p : p + len(item) - i + most + 1], most)
-            left = _extend(item[:i][::-1], passage[max(0, p - i - most - 1) : p][::-1], most)
-            best = max([best, *(left[x] + right[y] for x in range(most + 1) for y in range(most + 1 - x) if (x + y) * one_in <= left[x] + right[y])])
+            far = len(passage) - p + most
+            right = _extend(item[i : i + far], passage[p : p + len(item) - i + most + 1], most)
+            left = _extend(item[max(0, i - p - most) : i][::-1], passage[max(0, p - i - most - 1) : p][::-1], most)
+            best = max([best, *(left[x] + right[y] for x in range(most + 1) for y in range(min(most - x, (left[x] + right[-1]) // one_in - x) + 1) if (x + y) * one_in <= left[x] + right[y])])
     return best
 
 
-def _segments(w: list[str], h: np.ndarray, places: np.ndarray, reach: int) -> Iterator[tuple[str, list[int]]]:
-    """Parts of a document that reach ``reach`` words beyond its hits (hashes at ``places``) on either side, and the hits within."""
-    start = np.concatenate([[0], np.flatnonzero(np.diff(places) > 2 * reach + SHINGLE) + 1, [len(places)]])
-    for x, y in zip(start[:-1], start[1:]):
-        lo, hi = max(0, places[x] - reach), places[y - 1] + SHINGLE + reach
-        yield " ".join(w[lo:hi]), np.unique(h[x:y]).astype(np.int64).tolist()
+def _pieces(w: Windows, at: np.ndarray, h: np.ndarray, items: np.ndarray, reach: np.ndarray, fewest: int) -> Iterator[tuple[int, int, str, list[int]]]:
+    """Pieces of documents around their hits (shingles ``h`` at ``at``, each in ``items`` items, as far as ``reach`` words): number
+    of the document, first word, words, and the shingles by which items are to be found.
+
+    Pieces with fewer than ``fewest`` hits hold no leak. Where two hits at least are needed, an item can be found by any
+    but the commonest shingle of a piece, unless that one occurs twice.
+    """
+    doc = w.text(at)
+    lo, hi = np.maximum(w.begin[doc], at - reach), np.minimum(w.end[doc], at + SHINGLE + reach)
+    ahead = np.maximum.accumulate(hi)
+    new = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (lo[1:] > ahead[:-1])))
+    first = np.minimum.reduceat(lo, new) if len(at) else new
+    for a, b, start in zip(new, np.append(new[1:], len(at)), first):
+        if b - a < fewest:
+            continue
+        distinct, where, times = np.unique(h[a:b], return_index=True, return_counts=True)
+        if len(distinct) > 1 and fewest > 1:
+            worst = np.lexsort((distinct, items[a + where]))[-1]
+            if times[worst] == 1:
+                distinct = np.delete(distinct, worst)
+        yield int(doc[a]), int(start - w.begin[doc[a]]), " ".join(w.tokens[start : hi[a:b].max()]), distinct.astype(np.int64).tolist()
+
+
+def _blocks(f: pd.DataFrame, text: str) -> Iterator[pd.DataFrame]:
+    """The rows of a frame in parts of about BLOCK_CHARS characters."""
+    sizes = f[text].str.len().fillna(0).to_numpy()
+    cut = np.flatnonzero(np.diff(np.cumsum(sizes) // BLOCK_CHARS)) + 1
+    for a, b in zip(np.append(0, cut), np.append(cut, len(f))):
+        if b > a:
+            yield f.iloc[a:b]
 
 
 def leaked_items(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", doc_text: str = "text", item_id: str = "item_id", item_text: str = "text", least: int = 12, broadcast_limit: int = BROADCAST_SHINGLES) -> DataFrame:
-    """(item_id, doc_id, passage_words) of each document with a passage of an item of at least ``least`` words.
+    """(item_id, doc_id, passage_words) of each document with a passage of an item of at least ``least`` words (twelve or more).
 
     Null, empty and short texts hold none. Documents are read whole, whatever their length, and equal texts under
-    several ids are each reported. The item side is broadcast only up to ``broadcast_limit`` distinct shingles,
-    counted first; beyond it the signatures are joined by a shuffle. Other columns play no role.
+    several ids are each reported. The items' shingles are sent to the workers only up to ``broadcast_limit`` of them,
+    counted first; beyond it the documents' signatures and then their shingles are joined with them by a shuffle, and the
+    result is the same. A shingle or an item that a large share of the documents has is salted. Other columns play no role.
     """
-    item_rows = T.StructType([T.StructField("item", items.schema[item_id].dataType), T.StructField("words", T.StringType()), T.StructField("n", T.IntegerType()), T.StructField("hashes", T.ArrayType(T.LongType()))])
+    fewest = fewest_shingles(least)
+    side = T.StructType([T.StructField("item", items.schema[item_id].dataType), T.StructField("words", T.StringType()), T.StructField("n", T.IntegerType()), T.StructField("hashes", T.ArrayType(T.StructType([T.StructField("hash", T.LongType()), T.StructField("signature", T.LongType())])))])
 
     def item_side(frames):
         for f in frames:
-            w = [words(t) for t in f["text"]]
-            h, of, _ = shingle_hashes(w)
-            yield pd.DataFrame({"item": f["item"], "words": [" ".join(x) for x in w], "n": [len(x) for x in w], "hashes": [np.unique(h[of == i]).astype(np.int64) if len(x) >= least else [] for i, x in enumerate(w)]})
-
-    queries = items.filter(F.col(item_id).isNotNull()).select(F.col(item_id).alias("item"), F.col(item_text).cast("string").alias("text")).mapInPandas(item_side, item_rows)
-    by_hash = queries.select("item", "words", F.explode("hashes").alias("hash"))
-    bounds = queries.agg(F.max("n").alias("n"), F.sum(F.size("hashes")).alias("h")).first()
-    longest = bounds["n"] or 0
-    reach = longest + longest // 8 + 2
-    small = (bounds["h"] or 0) <= broadcast_limit
-    known = np.array([r["hash"] for r in by_hash.select("hash").distinct().collect()], dtype=np.int64).astype(np.uint64) if small else None
+            out = []
+            for item, text in zip(f["item"], f["text"]):
+                w = Windows([text])
+                n = len(w.tokens) - 1
+                x = pd.DataFrame({"hash": w.shingles(w.at).astype(np.int64), "signature": w.signature.astype(np.int64)}).drop_duplicates()
+                out.append((item, " ".join(w.tokens[:-1]), n, list(x.itertuples(index=False, name=None)) if n >= least else []))
+            yield pd.DataFrame(out, columns=["item", "words", "n", "hashes"])
+
+    texts = items.filter(F.col(item_id).isNotNull()).select(F.col(item_id).alias("item"), F.col(item_text).cast("string").alias("text"))
+    sided = durable(texts.mapInPandas(item_side, side).filter(F.size("hashes") > 0))
+    by_hash = sided.select("item", (F.col("n") + F.floor(F.col("n") / 8) + 2).cast("int").alias("reach"), F.explode("hashes").alias("h")).select("item", "reach", "h.*")
+    known = durable(by_hash.groupBy("hash").agg(F.count_distinct("item").cast("int").alias("items"), F.max("reach").alias("reach"), F.first("signature").alias("signature")))
     id_type = docs.schema[doc_id].dataType
     corpus = docs.filter(F.col(doc_id).isNotNull() & F.col(doc_text).isNotNull()).select(F.col(doc_id).alias("doc"), F.col(doc_text).cast("string").alias("text"))
-    part = T.StructType([T.StructField("doc", id_type), T.StructField("passage", T.StringType()), T.StructField("hits", T.ArrayType(T.LongType()))])
+    piece = T.StructType([T.StructField("doc", id_type), T.StructField("start", T.IntegerType()), T.StructField("passage", T.StringType()), T.StructField("hashes", T.ArrayType(T.LongType()))])
 
-    def parts(frames):
-        for f in frames:
-            out = []
-            for lo in range(0, len(f), BLOCK):
-                block = f.iloc[lo : lo + BLOCK]
-                docs_, w = list(block["doc"]), [words(t) for t in block["text"]]
-                h, of, place = shingle_hashes(w)
-                if "hits" in block:
-                    at = np.concatenate([np.isin(h[of == i], np.array(v, dtype=np.int64).astype(np.uint64)) for i, v in enumerate(block["hits"])])
-                else:
-                    # What the signatures have in common with the queries, at all its places in the text.
-                    at = np.isin(h, known) & signatures(h, of)
-                h, of, place = h[at], of[at], place[at]
-                cut = np.flatnonzero(np.diff(of)) + 1
-                for i, hs, ps in zip(of[np.concatenate([[0], cut])] if len(of) else [], np.split(h, cut), np.split(place, cut)):
-                    out += [(docs_[i], p, v) for p, v in _segments(w[i], hs, ps, reach)]
-            yield pd.DataFrame(out, columns=["doc", "passage", "hits"])
-
-    if small:
-        held = corpus.mapInPandas(parts, part)
+    def found(block: pd.DataFrame, at_hits) -> list[tuple]:
+        """Pieces of the block; ``at_hits`` gives hits, shingles, their numbers of items and reaches of its windows."""
+        w, ids = Windows(list(block["text"])), block["doc"].to_numpy()
+        at, h, n, reach = at_hits(w)
+        return [(ids[d], *rest) for d, *rest in _pieces(w, at, h, n, reach, fewest)] if len(at) else []
+
+    if known.count() <= broadcast_limit:
+        rows = known.toPandas().sort_values("hash", key=lambda c: c.to_numpy().astype(np.uint64))
+        shared = docs.sparkSession.sparkContext.broadcast((rows["hash"].to_numpy().astype(np.uint64), rows["items"].to_numpy(), rows["reach"].to_numpy(), np.unique(rows["signature"].to_numpy().astype(np.uint64))))
+
+        def pieces(frames):
+            hashes, n, reach, signatures = shared.value
+
+            def at_hits(w: Windows):
+                runs = w.runs()
+                met, _ = _among(w.signature[runs], signatures)
+                at = w.at[np.repeat(met, np.diff(np.append(runs, len(w.signature))))]
+                h = w.shingles(at)
+                same, i = _among(h, hashes)
+                return at[same], h[same], n[i[same]], reach[i[same]]
+
+            for f in frames:
+                yield pd.DataFrame([x for b in _blocks(f, "text") for x in found(b, at_hits)], columns=[c.name for c in piece])
+
+        held = corpus.mapInPandas(pieces, piece)
     else:
-        signed = T.StructType([T.StructField("doc", id_type), T.StructField("hash", T.LongType())])
+        signed = T.StructType([T.StructField("doc", id_type), T.StructField("signature", T.LongType())])
 
         def signed_docs(frames):
             for f in frames:
-                for lo in range(0, len(f), BLOCK):
-                    block = f.iloc[lo : lo + BLOCK]
-                    h, of, _ = shingle_hashes([words(t) for t in block["text"]])
-                    at = signatures(h, of)
-                    yield pd.DataFrame({"doc": block["doc"].to_numpy()[of[at]], "hash": h[at].astype(np.int64)}).drop_duplicates()
+                for b in _blocks(f, "text"):
+                    w = Windows(list(b["text"]))
+                    runs = w.runs()
+                    yield pd.DataFrame({"doc": b["doc"].to_numpy()[w.text(w.at[runs])], "signature": w.signature[runs].astype(np.int64)}).drop_duplicates()
 
-        hit = corpus.mapInPandas(signed_docs, signed).join(by_hash.select("hash").distinct(), "hash", "left_semi").groupBy("doc").agg(F.collect_set("hash").alias("hits"))
-        held = corpus.join(hit, "doc").mapInPandas(parts, part)
-    pairs = held.withColumn("hash", F.explode("hits")).join(by_hash, "hash").groupBy("item", "words", "doc", "passage").agg(F.count(F.lit(1)).alias("shared"))
+        def shingled_docs(frames):
+            for f in frames:
+                for b in _blocks(f, "text"):
+                    w = Windows(list(b["text"]))
+                    met = pd.DataFrame({"d": w.text(w.at), "s": w.signature.astype(np.int64), "hash": w.shingles(w.at).astype(np.int64)})
+                    asked = pd.DataFrame({"d": np.repeat(np.arange(len(b)), b["signatures"].map(len)), "s": np.concatenate([np.asarray(x, dtype=np.int64) for x in b["signatures"]])})
+                    x = met.merge(asked, on=["d", "s"]).drop_duplicates(["d", "hash"])
+                    yield pd.DataFrame({"doc": b["doc"].to_numpy()[x["d"]], "hash": x["hash"]})
+
+        def pieces(frames):
+            for f in frames:
+                out = []
+                for b in _blocks(f, "text"):
+                    each = [(i, h["hash"], h["items"], h["reach"]) for i, hs in enumerate(b["hits"]) for h in hs]
+                    table = pd.DataFrame(each, columns=["d", "hash", "items", "reach"])
+
+                    def at_hits(w: Windows, table=table):
+                        x = pd.DataFrame({"at": w.at, "d": w.text(w.at), "hash": w.shingles(w.at).astype(np.int64)}).merge(table, on=["d", "hash"]).sort_values("at")
+                        return x["at"].to_numpy(), x["hash"].to_numpy().astype(np.uint64), x["items"].to_numpy(), x["reach"].to_numpy()
+
+                    out += found(b, at_hits)
+                yield pd.DataFrame(out, columns=[c.name for c in piece])
+
+        met = corpus.mapInPandas(signed_docs, signed).join(known.select("signature").distinct(), "signature", "left_semi").groupBy("doc").agg(F.collect_set("signature").alias("signatures"))
+        some = durable(corpus.join(met, "doc"))  # the documents that any signature leaves
+        exact = some.mapInPandas(shingled_docs, T.StructType([T.StructField("doc", id_type), T.StructField("hash", T.LongType())])).join(known.select("hash", "items", "reach"), "hash")
+        hits = exact.groupBy("doc").agg(F.collect_set(F.struct("hash", "items", "reach")).alias("hits"))
+        held = some.drop("signatures").join(hits, "doc").mapInPandas(pieces, piece)
+    held = durable(held)
+    hits = held.select("doc", "start", F.explode("hashes").alias("hash"))
+    hot = hot_keys(hits.groupBy("hash").agg(F.count(F.lit(1)).alias("n")), ["hash"], "n", least=20_000)
+    salt = lambda c: F.coalesce(c, F.lit(1))
+    hits = hits.join(F.broadcast(hot), "hash", "left").withColumn("salt", F.pmod(F.xxhash64("doc"), salt(F.col("__nsalt"))).cast("int")).drop("__nsalt")
+    spread = by_hash.select("item", "hash").join(F.broadcast(hot), "hash", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), salt(F.col("__nsalt")) - 1))).drop("__nsalt")
+    pairs = durable(hits.join(spread, ["hash", "salt"]).select("item", "doc", "start").distinct())
+    of_item = pairs.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+    with_words = salted_join(pairs, sided.select("item", "words").join(of_item, "item"), ["item"], "n", F.col("doc"), "inner").join(held.select("doc", "start", "passage"), ["doc", "start"])
 
     @F.pandas_udf(T.IntegerType())
     def length(item: pd.Series, passage: pd.Series) -> pd.Series:
         return pd.Series([longest_passage(a.split(), b.split()) for a, b in zip(item, passage)], dtype="int32")
 
-    verified = pairs.select("item", "doc", length("words", "passage").alias("n")).filter(F.col("n") >= least)
+    verified = with_words.select("item", "doc", length("words", "passage").alias("n")).filter(F.col("n") >= least)
     return verified.groupBy(F.col("item").alias(item_id), F.col("doc").alias(doc_id)).agg(F.max("n").alias("passage_words"))

@@ -143,11 +143,37 @@ def test_every_passage_has_an_intact_shingle():
         assert -(-(n - k) // (k + 1)) >= contain.SHINGLE
 
 
-def test_signature_keeps_nearly_all_shared_shingles():
+def test_signatures_are_fewer_than_windows_and_miss_no_shared_window():
     r = random.Random(1)
-    for size in (3, 90, 5000):
-        h, of, _ = contain.shingle_hashes([item_words(r, size + 4)])
-        assert contain.signatures(h, of).mean() > 0.98
+    w = contain.Windows([" ".join(item_words(r, 20_000)), None, "a b", "a b c d e"])
+    assert len(w.signature) == 20_000 - 4 + 1 and 0.4 < len(w.runs()) / len(w.signature) < 0.6
+    text = item_words(r, 300)
+    a, b = contain.Windows([" ".join(text)]), contain.Windows(["other words go first " + " ".join(text[100:105]) + " and last"])
+    shared = np.isin(b.shingles(b.at), a.shingles(a.at))
+    assert shared.sum() == 1 and np.isin(b.signature[shared], a.signature).all()
+
+
+def test_fewest_shingles_of_a_leak():
+    assert contain.fewest_shingles(12) == 2 and contain.fewest_shingles(17) == 3
+    for n in range(12, 60):
+        for cut in range(n):  # one change
+            runs = (cut, n - cut - 1)
+            assert sum(max(0, x - 4) for x in runs) >= contain.fewest_shingles(12)
+
+
+def test_a_long_item_and_a_shingle_that_all_have(spark):
+    """One item of 100 000 words, and one shingle in every item and document: only true leaks are reported, by either way."""
+    r = random.Random(9)
+    common = "read the passage and answer"
+    long = [f"w{r.randrange(50_000)}" for _ in range(100_000)]
+    items = [(i, common + " " + " ".join(item_words(r))) for i in range(60)] + [(100, " ".join(long))]
+    docs = [(d, common + " " + " ".join(f"z{r.randrange(900)}" for _ in range(60))) for d in range(400)]
+    docs += [(1000, "x y z " + " ".join(long[500:515]) + " q"), (1001, " ".join(long[90_000:91_000])), (1002, items[3][1] + " end"), (1003, "la " * 40)]
+    items += [(200, "la " * 12)]
+    left, right = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    for limit in (contain.BROADCAST_SHINGLES, 0):
+        got = {(x["item_id"], x["doc_id"]): x["passage_words"] for x in contain.leaked_items(left, right, broadcast_limit=limit).collect()}
+        assert set(got) == {(100, 1000), (100, 1001), (3, 1002), (200, 1003)} and got[100, 1000] == 15 and got[100, 1001] == 1000 and got[200, 1003] == 12
 
 
 # Abuse
