@@ -45,7 +45,8 @@ def nearest_in_time(left: DataFrame, right: DataFrame, keys: list[str], time: st
     r = tidy(right, right_id).groupBy(*names, "t").agg(F.min("id").alias("id")).withColumn("side", F.lit(0))
     lf = tidy(left, left_id).distinct().withColumn("side", F.lit(1))
     order = [*names, "t", "side", "id"]
-    rows = durable(r.select(*order).unionByName(lf.select(*order)).repartitionByRange(n, *order).sortWithinPartitions(*order)).withColumn("pid", F.spark_partition_id())
+    both = durable(r.select(*order).unionByName(lf.select(*order)))  # range partitioning reads its input twice, once to sample it
+    rows = durable(both.repartitionByRange(n, *order).sortWithinPartitions(*order)).withColumn("pid", F.spark_partition_id())
     record = F.when(F.col("side") == 0, F.struct(*names, "t", "id"))
     edges = rows.groupBy("pid").agg(F.max(record).alias("last"), F.min(record).alias("first"))
     edges = durable(edges)

@@ -19,11 +19,11 @@ ROWS_A_TASK = 1_000_000
 def _sightings(df: DataFrame, key: str) -> DataFrame:
     """Usable records of image or audio metadata: key, name, lat and lon of the quarter-degree cell, seconds."""
     x = df.select(key, "scientific_name", "latitude", "longitude", "timestamp").filter(is_location(F.col("latitude"), F.col("longitude")))
-    x = with_instant(once(x, key), F.col("timestamp"), "seconds")
+    x = with_instant(x, F.col("timestamp"), "seconds")
     name = F.lower(F.trim(F.regexp_replace("scientific_name", r"[\s_ ]+", " ")))
     lon = snap(canonical_lon(F.col("longitude")))
     x = computed(x, {"name": F.nullif(name, F.lit("")), "cell_lat": (snap(F.col("latitude")) * 4).cast("int"), "cell_lon": (F.when(lon >= 180.0, lon - 360.0).otherwise(lon) * 4).cast("int")})
-    return x.filter(F.col("seconds").isNotNull() & F.col("name").isNotNull()).select(key, "name", "cell_lat", "cell_lon", "seconds")
+    return once(x.filter(F.col("seconds").isNotNull() & F.col("name").isNotNull()).select(key, "name", "cell_lat", "cell_lon", "seconds"), key)
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
