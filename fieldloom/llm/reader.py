@@ -358,24 +358,31 @@ class Reader:
 
 def features(text: str | None) -> list[float]:
     """FEATURES of one text, with nothing learnt."""
-    return _READERS.setdefault("", Reader({}, 0)).features([text], np.zeros(1, dtype=int))[0].tolist()
+    return _unlearnt().features([text], np.zeros(1, dtype=int))[0].tolist()
 
 
 _ALPHA = np.array([chr(i).isalpha() for i in range(0x250)] + [True])
 _UPPER = np.array([chr(i).isupper() for i in range(0x250)] + [False])
-_READERS: dict[str, Reader] = {}
+_READERS: list[Reader] = []
+
+
+def _unlearnt() -> Reader:
+    """A reader of the general lexicons alone, made once a worker."""
+    if not _READERS:
+        _READERS.append(Reader({}, 0))
+    return _READERS[0]
 
 
 def terms(text: str | None) -> list[str]:
     """The words and pairs of neighbouring words of a text, each once, as the learnt lexicon counts them."""
     found: set[str] = set()
     before = None
-    reader = _READERS.setdefault("", Reader({}, 0))
+    vocabulary = _unlearnt().vocabulary
     for t in _TOKEN.findall(plain(text or "")):
         if t[0] in ".!?\n\x00\x01":
             before = before if t[0] == "\x01" else None
             continue
-        w, _ = reader.vocabulary.read(t)
+        w = t if t.isalpha() else vocabulary.read(t)[0]
         if w.isalpha():
             found.add(w)
             if before:
