@@ -22,7 +22,7 @@ query = Register()
 r6 = lambda c: F.round(c, 6)
 
 
-@query(f"WITH {OBS}, {BOXES}, c AS (SELECT country, (lat_lo + lat_hi) / 2 AS la, (lon_lo + lon_hi) / 2 AS lo FROM boxes), x AS (SELECT event_id, arg_min(country, (sqrt(pow(lat - la, 2) + pow(lon - lo, 2)), country)) AS country FROM obs, c WHERE event_id % 7 = 0 GROUP BY event_id) SELECT country, count(*) AS n FROM x GROUP BY country")
+@query(f"WITH {OBS}, {BOXES}, c AS (SELECT country, (lat_lo + lat_hi) / 2 AS la, (lon_lo + lon_hi) / 2 AS lo FROM boxes), x AS (SELECT event_id, arg_min(country, (sqrt(pow(lat - la, 2) + pow(lon - lo, 2)), country)) AS country FROM obs, c GROUP BY event_id) SELECT country, count(*) AS n FROM x GROUP BY country")
 def reverse_geocode(spark: SparkSession, d: str) -> DataFrame:
     places = boxes(spark, d).select("country", ((F.col("lat_lo") + F.col("lat_hi")) / 2).alias("la"), ((F.col("lon_lo") + F.col("lon_hi")) / 2).alias("lo"))
     o = obs(spark, d)
@@ -101,7 +101,7 @@ def raster_cell_mean(spark: SparkSession, d: str) -> DataFrame:
     return x.groupBy(geo.axis_index(F.col("latitude"), 32.0, 0.5).alias("lat_idx"), geo.axis_index(lon, -30.0, 0.5).alias("lon_idx"), "month_year").agg(F.round(F.avg("ndvi"), 9).alias("ndvi"))
 
 
-_MONTHS = [f"{m:02d}/2018" for m in range(1, 7)]
+_MONTHS = [f"{m % 12 + 1:02d}/{2018 + m // 12}" for m in range(18)]  # those of the given tables, which SQL has to name
 
 
 @query("SELECT latitude, longitude, " + ", ".join(f"max(ndvi) FILTER (month_year = '{m}') AS \"NDVI_{m}\"" for m in _MONTHS) + " FROM ndvi_grid WHERE ndvi BETWEEN -0.2 AND 1 AND NOT isnan(ndvi) GROUP BY ALL")

@@ -50,7 +50,7 @@ def sink_partitioned(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(out).groupBy("cls", "species").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"WITH {CUBE}, p AS (SELECT time AS t0, lead(time) OVER (ORDER BY time) AS t1 FROM (SELECT DISTINCT time FROM cube WHERE t_idx < 8)) SELECT t0 AS window_start, count(*) AS n FROM p JOIN cube ON time IN (t0, t1) WHERE t1 IS NOT NULL AND t_idx < 8 GROUP BY t0")
+@query(f"WITH {CUBE}, p AS (SELECT time AS t0, lead(time) OVER (ORDER BY time) AS t1 FROM (SELECT DISTINCT time FROM cube)) SELECT t0 AS window_start, count(*) AS n FROM p JOIN cube ON time IN (t0, t1) WHERE t1 IS NOT NULL GROUP BY t0")
 def sink_windows(spark: SparkSession, d: str) -> DataFrame:
     """Training windows written twice; the second run adds nothing."""
     out = folder(spark, "windows")

@@ -225,7 +225,7 @@ def endemism(spark: SparkSession, d: str) -> DataFrame:
     return ag.endemism(x, "s", "region")
 
 
-@query(f"WITH {OBS}, x AS (SELECT DISTINCT round(lat, 0)::INT AS r, species AS s FROM obs WHERE species % 3 = 0), n AS (SELECT r, count(*) AS n FROM x GROUP BY r), i AS (SELECT p.r AS a, q.r AS b, count(*) AS k FROM x p JOIN x q USING (s) GROUP BY ALL) SELECT a, b, round(1 - k::DOUBLE / (m.n + o.n - k), 6) AS jaccard FROM i JOIN n m ON m.r = a JOIN n o ON o.r = b")
+@query(f"WITH {OBS}, x AS (SELECT DISTINCT round(lat, 0)::INT AS r, species AS s FROM obs), n AS (SELECT r, count(*) AS n FROM x GROUP BY r), i AS (SELECT p.r AS a, q.r AS b, count(*) AS k FROM x p JOIN x q USING (s) GROUP BY ALL) SELECT a, b, round(1 - k::DOUBLE / (m.n + o.n - k), 6) AS jaccard FROM i JOIN n m ON m.r = a JOIN n o ON o.r = b")
 def beta_jaccard(spark: SparkSession, d: str) -> DataFrame:
     x = obs(spark, d).select(F.round("lat", 0).cast("int").alias("region"), "species")
     return ag.beta_jaccard(x, "species", "region").withColumn("jaccard", r6("jaccard"))
@@ -236,7 +236,7 @@ def top_species(spark: SparkSession, d: str) -> DataFrame:
     return ag.top_species(gr.in_box(obs(spark, d), "lat", "lon", 34.0, 72.0, -180.0, 180.0), "species", 100)
 
 
-@query(f"WITH {OBS}, s AS (SELECT species, string_agg(DISTINCT cls, '+' ORDER BY cls) AS modalities FROM obs WHERE event_id % 17 = 0 GROUP BY species) SELECT modalities, count(*) AS items FROM s GROUP BY ALL")
+@query(f"WITH {OBS}, s AS (SELECT species, string_agg(DISTINCT cls, '+' ORDER BY cls) AS modalities FROM obs GROUP BY species) SELECT modalities, count(*) AS items FROM s GROUP BY ALL")
 def modality_counts(spark: SparkSession, d: str) -> DataFrame:
     return ag.modality_combinations(obs(spark, d), "species", "cls")
 

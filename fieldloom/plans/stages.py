@@ -27,25 +27,25 @@ def values(rows: list) -> str:
     return ", ".join("(" + ", ".join(one(v) for v in r) + ")" for r in rows)
 
 
-@query(f"WITH {CUBE}, {_STATS} SELECT t_idx, level, lat_idx, lon_idx, round((value - m) / sd, 6) AS value FROM cube JOIN s USING (level) WHERE t_idx < 5")
+@query(f"WITH {CUBE}, {_STATS} SELECT t_idx, level, lat_idx, lon_idx, round((value - m) / sd, 6) AS value FROM cube JOIN s USING (level)")
 def zscore(spark: SparkSession, d: str) -> DataFrame:
     c = cube(spark)
     return bt.zscore(c, ag.moments(c, "value", ["level"]), ["level"], "value").select("t_idx", "level", "lat_idx", "lon_idx", r6("value").alias("value"))
 
 
-@query(f"WITH {CUBE} SELECT t_idx, level, lat_idx, lon_idx, round(value, 6) AS value FROM cube WHERE t_idx < 5")
+@query(f"WITH {CUBE} SELECT t_idx, level, lat_idx, lon_idx, round(value, 6) AS value FROM cube")
 def unzscore(spark: SparkSession, d: str) -> DataFrame:
     c = cube(spark)
     stats = ag.moments(c, "value", ["level"])
     return bt.zscore(bt.zscore(c, stats, ["level"], "value"), stats, ["level"], "value", inverse=True).select("t_idx", "level", "lat_idx", "lon_idx", r6("value").alias("value"))
 
 
-@query(f"WITH {CUBE} SELECT t_idx, level, lat_idx, lon_idx, value FROM cube WHERE lat_idx < 15 AND lon_idx < 15 AND t_idx = 0")
+@query(f"WITH {CUBE} SELECT t_idx, level, lat_idx, lon_idx, value FROM cube WHERE lat_idx < 15 AND lon_idx < 15")
 def crop_truncate(spark: SparkSession, d: str) -> DataFrame:
     return gr.crop_to_multiple(cube(spark), "lat_idx", "lon_idx", 16, 16, 5).select("t_idx", "level", "lat_idx", "lon_idx", "value")
 
 
-@query(f"WITH {CUBE} SELECT l.level, a.i::BIGINT AS lat_idx, b.j::BIGINT AS lon_idx, CASE WHEN a.i > 15 OR b.j > 15 THEN 0 ELSE value END AS value FROM (VALUES (50::BIGINT), (500), (1000)) l(level), range(20) a(i), range(20) b(j) LEFT JOIN cube ON cube.t_idx = 0 AND cube.level = l.level AND lat_idx = a.i AND lon_idx = b.j")
+@query(f"WITH {CUBE} SELECT s.t AS t_idx, l.level, a.i::BIGINT AS lat_idx, b.j::BIGINT AS lon_idx, CASE WHEN a.i > 15 OR b.j > 15 THEN 0 ELSE value END AS value FROM range(40) s(t), (VALUES (50::BIGINT), (500), (1000)) l(level), range(20) a(i), range(20) b(j) LEFT JOIN cube ON cube.t_idx = s.t AND cube.level = l.level AND lat_idx = a.i AND lon_idx = b.j")
 def crop_pad(spark: SparkSession, d: str) -> DataFrame:
     return gr.pad_to_multiple(cube(spark), "lat_idx", "lon_idx", 16, 16, 5, "value", ["t_idx", "level"])
 
@@ -56,7 +56,7 @@ def window_batch(spark: SparkSession, d: str) -> DataFrame:
     return x.groupBy("window_start", "t", "level").agg(F.count(F.lit(1)).alias("cells"), r6(F.sum("value")).alias("total"))
 
 
-@query(f"WITH {CUBE} SELECT t_idx, level, string_agg(coalesce(value, 0)::DECIMAL(9, 2), ',' ORDER BY lat_idx, lon_idx) AS tensor FROM cube WHERE t_idx < 3 GROUP BY ALL")
+@query(f"WITH {CUBE} SELECT t_idx, level, string_agg(coalesce(value, 0)::DECIMAL(9, 2), ',' ORDER BY lat_idx, lon_idx) AS tensor FROM cube GROUP BY ALL")
 def tensor_export(spark: SparkSession, d: str) -> DataFrame:
     x = bt.tensors(cube(spark), ["t_idx", "level"], ["lat_idx", "lon_idx"], "value")
     return x.withColumn("tensor", F.array_join(F.transform("tensor", lambda v: v.cast("decimal(9,2)").cast("string")), ","))
@@ -155,9 +155,9 @@ def header_parse(spark: SparkSession, d: str) -> DataFrame:
     return literals(spark, "header string, variable string, month int, year int", [(h, v, m, y) for h in _HEADERS if (p := parse_header(h)) for v, m, y in (p,)])
 
 
-@query("SELECT country, round(sum(v), 2) AS total FROM (WITH " + WIDE + " SELECT country, unnest([agri_1995, agri_1996, agri_1997]) AS v FROM indicator_wide) WHERE country LIKE 'A%' OR country LIKE 'U%' GROUP BY country")
+@query("SELECT country, round(sum(v), 2) AS total FROM (WITH " + WIDE + " SELECT country, unnest([agri_1995, agri_1996, agri_1997]) AS v FROM indicator_wide) GROUP BY country")
 def indicator_sum(spark: SparkSession, d: str) -> DataFrame:
-    w = indicator_wide(spark, d).filter(F.col("country").startswith("A") | F.col("country").startswith("U"))
+    w = indicator_wide(spark, d)
     return w.select("country", F.round(F.col("agri_1995") + F.col("agri_1996") + F.col("agri_1997"), 2).alias("total"))
 
 

@@ -36,7 +36,7 @@ def kmer_vector(spark: SparkSession, d: str) -> DataFrame:
     return pure_seq(spark, d).select("event_id", F.array_join(F.transform(v, lambda x: F.rint(x * 29).cast("int").cast("string")), ",").alias("counts"))
 
 
-@query(f"WITH {PURE} SELECT event_id, string_agg(CASE WHEN substr(dna, i::INT, 1) = b THEN '1' ELSE '0' END, '' ORDER BY b, i) AS code FROM pure, (VALUES ('A'), ('C'), ('G'), ('T')) x(b), range(1, 33) r(i) WHERE event_id % 10 = 0 GROUP BY event_id")
+@query(f"WITH {PURE} SELECT event_id, string_agg(CASE WHEN substr(dna, i::INT, 1) = b THEN '1' ELSE '0' END, '' ORDER BY b, i) AS code FROM pure, (VALUES ('A'), ('C'), ('G'), ('T')) x(b), range(1, 33) r(i) GROUP BY event_id")
 def one_hot(spark: SparkSession, d: str) -> DataFrame:
     x = sq.one_hot(F.col("dna"), 32)
     return pure_seq(spark, d).select("event_id", F.array_join(F.transform(F.flatten(x), lambda v: v.cast("string")), "").alias("code"))
