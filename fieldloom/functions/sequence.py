@@ -32,8 +32,11 @@ def kmer_index(kmer: Column, k: int) -> Column:
 def kmer_vector(seq: Column, k: int) -> Column:
     """Relative frequencies of all 4^k k-mers in order; all 0 for texts shorter than k."""
     n = F.greatest(F.length(seq) - k + 1, F.lit(1))
-    found = F.transform(kmers(seq, k), lambda x: kmer_index(x, k))
-    return let(found, lambda f: F.transform(F.sequence(F.lit(0), F.lit(4**k - 1)), lambda i: F.size(F.filter(f, lambda x: x == i)) / n))
+    # All k-mers are put behind the found ones and sorted; each one's count is the length of its run less one, from the places of its last and of the one before.
+    found = F.filter(F.transform(kmers(seq, k), lambda x: kmer_index(x, k)), lambda x: x.isNotNull())
+    every = F.sequence(F.lit(0), F.lit(4**k - 1))
+    lasts = let(F.array_sort(F.concat(found, every)), lambda s: F.filter(F.transform(s, lambda x, i: F.when((i + 1 == F.size(s)) | (F.get(s, i + 1) != x), i)), lambda x: x.isNotNull()))
+    return let(lasts, lambda e: F.transform(e, lambda x, i: (x - F.when(i == 0, F.lit(-1)).otherwise(F.get(e, i - 1)) - 1) / n))
 
 
 def l1_normalised(vector: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
 from fieldloom.durable import durable
+from fieldloom.skew import hot_keys
 
 
 def number(c: Column) -> Column:
@@ -58,16 +59,25 @@ def endemism(df: DataFrame, species: str, region: str) -> DataFrame:
     return only.groupBy(region).agg(F.count(F.lit(1)).alias("endemic"))
 
 
-def beta_jaccard(df: DataFrame, species: str, region: str) -> DataFrame:
-    """Jaccard dissimilarity of presence of regions (a, b), both ways and with itself, for all that share a species.
+def beta_jaccard(df: DataFrame, species: str, region: str, every: bool = False) -> DataFrame:
+    """Jaccard dissimilarity of presence of regions (a, b), both ways and with itself, for all that share a species; with
+    ``every`` also of those that share none (1).
 
-    Pairs that aren't listed share none, so their dissimilarity is 1. Shared species are counted from each species' set of
-    regions; a region's number of species comes from the pair with itself. Nulls don't count.
+    Shared species are counted by an equi-join of the distinct (species, region) rows with themselves; a species in very
+    many regions is salted on one side. The result has at most regions² rows, and each task combines its pairs before the
+    shuffle. Nulls don't count.
     """
     x = df.filter(F.col(species).isNotNull() & F.col(region).isNotNull()).select(F.col(species).alias("s"), F.col(region).alias("r")).distinct()
+    x = durable(x)
     size = x.groupBy("r").agg(F.count(F.lit(1)).alias("n"))
-    sets = x.groupBy("s").agg(F.sort_array(F.collect_set("r")).alias("rs"))
-    both = sets.select(F.explode("rs").alias("a"), "rs").select("a", F.explode("rs").alias("b")).groupBy("a", "b").agg(F.count(F.lit(1)).alias("both"))
+    hot = hot_keys(x.groupBy("s").agg(F.count(F.lit(1)).alias("n")), ["s"], "n", least=1000)
+    salts = F.coalesce(F.col("__nsalt"), F.lit(1))
+    left = x.join(F.broadcast(hot), "s", "left").select("s", F.col("r").alias("a"), F.pmod(F.xxhash64("r"), salts).cast("int").alias("k"))
+    right = x.join(F.broadcast(hot), "s", "left").select("s", F.col("r").alias("b"), F.explode(F.sequence(F.lit(0), salts - 1)).alias("k"))
+    both = left.join(right, ["s", "k"]).groupBy("a", "b").agg(F.count(F.lit(1)).alias("both"))
+    if every:  # one row a pair is the result asked for
+        regions = size.select("r", F.lit(1).alias("one"))
+        both = regions.select(F.col("r").alias("a"), "one").join(regions.select(F.col("r").alias("b"), "one"), "one").drop("one").join(both, ["a", "b"], "left").fillna({"both": 0})
     both = both.join(size.select(F.col("r").alias("a"), F.col("n").alias("na")), "a").join(size.select(F.col("r").alias("b"), F.col("n").alias("nb")), "b")
     return both.select("a", "b", (1 - F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))).alias("jaccard"))
 
@@ -131,6 +141,20 @@ def dense_labels(df: DataFrame, column: str, order: str, known: DataFrame | None
     return new if known is None else known.select("value", "id").unionByName(new)
 
 
+def with_next(values: DataFrame, column: str, out: str) -> DataFrame:
+    """Distinct non-null ``column`` with ``out``, the next larger one (null for the largest), without a single-task window: values
+    are range-partitioned and sorted, each partition looks ahead on its own, and its last value gets the first of the
+    next partition (one row each)."""
+    parts = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = durable(values.select(F.col(column).alias("__v")).filter("__v IS NOT NULL").distinct())
+    x = durable(distinct.repartitionByRange(parts, "__v").sortWithinPartitions("__v")).withColumn("__p", F.spark_partition_id())
+    firsts = x.groupBy("__p").agg(F.min("__v").alias("__f"))
+    ahead = firsts.withColumn("__f", F.lead("__f").over(W.orderBy("__p")))  # a row a task
+    own = F.lead("__v").over(W.partitionBy("__p").orderBy("__v"))
+    y = x.withColumn("__n", own).join(F.broadcast(ahead), "__p", "left")
+    return y.select(F.col("__v").alias(column), F.coalesce("__n", "__f").alias(out))
+
+
 def ranked(df: DataFrame, order: list[str]) -> DataFrame:
     """``df`` with ``rank``, its place from 0 in the global order, without a single-task window: rows are range-partitioned and
     sorted, each partition is numbered on its own, and the sizes of the partitions before (one row each) are added."""

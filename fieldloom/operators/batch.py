@@ -15,7 +15,6 @@ SLOT_VARIABLES = {
     "edaphic_variables": ["stl1", "swvl2", "stl2"],
     "climate_variables": ["d2m", "tp", "avg_sdswrf", "avg_sdswrfcs", "avg_snlwrf", "avg_snswrf", "avg_tprate", "csfr", "sd", "smlt"],
 }
-KEPT_LEVELS = [50, 500, 1000]
 
 
 def infer_slot(variables: Column) -> Column:

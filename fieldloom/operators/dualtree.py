@@ -78,7 +78,7 @@ def dual_tree_pairs(left: DataFrame, right: DataFrame, radius_km: float, left_ke
     ``left`` should be the smaller side. Points that are no location (null, NaN, out of range, exactly (0, 0))
     and null keys take no part. Both longitude conventions count, and distances go across the date line and the
     poles. Repeated rows give one pair. Empty tables give an empty result. ``with_distance`` adds ``distance_km``.
-    Other columns of the inputs play no role, whatever their names. A cell that holds a large share of the right
+    Other columns of the inputs play no role, whatever their names. A cell that holds a large share of either
     side is split into chunks, so that no task gets all of it.
     """
     level = leaf_level(radius_km)
@@ -99,8 +99,11 @@ def dual_tree_pairs(left: DataFrame, right: DataFrame, radius_km: float, left_ke
         )
         above = up
     hot = hot_keys(lb.withColumnRenamed("b_leaf", "b_pair"), ["b_pair"], "b_count", least=20_000)
-    pairs = pairs.join(F.broadcast(hot), "b_pair", "left").withColumn("chunk", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__nsalt"), F.lit(1)) - 1))).drop("__nsalt")
-    of_left = pairs.join(a.dropDuplicates(["a_key", "a_lat", "a_lon"]), F.col("a_pair") == F.col("a_leaf")).select("b_pair", "chunk", "sure", "a_key", "a_lat", "a_lon")
+    hot_a = hot_keys(la.withColumnRenamed("a_leaf", "a_pair"), ["a_pair"], "a_count", least=20_000).withColumnRenamed("__nsalt", "__asalt")
+    of = lambda c: F.coalesce(F.col(c), F.lit(1))
+    pairs = pairs.join(F.broadcast(hot), "b_pair", "left").join(F.broadcast(hot_a), "a_pair", "left").withColumn("chunk", F.explode(F.sequence(F.lit(0), of("__nsalt") - 1))).withColumn("a_chunk_", F.explode(F.sequence(F.lit(0), of("__asalt") - 1))).drop("__nsalt", "__asalt")
+    left_points = a.select("a_key", "a_lat", "a_lon", "a_leaf").distinct().join(F.broadcast(hot_a.withColumnRenamed("a_pair", "a_leaf")), "a_leaf", "left").withColumn("a_chunk", F.pmod(F.xxhash64("a_key"), of("__asalt")).cast("int")).drop("__asalt")
+    of_left = pairs.join(left_points, (F.col("a_pair") == F.col("a_leaf")) & (F.col("a_chunk_") == F.col("a_chunk"))).select("b_pair", "chunk", "sure", "a_key", "a_lat", "a_lon")
     split = b.join(F.broadcast(hot.withColumnRenamed("b_pair", "b_leaf")), "b_leaf", "left").withColumn("b_chunk", F.when(F.col("__nsalt").isNull(), 0).otherwise(F.pmod(F.xxhash64("b_key"), F.col("__nsalt").cast("long")).cast("int")))
     both = of_left.join(split, (F.col("b_pair") == F.col("b_leaf")) & (F.col("chunk") == F.col("b_chunk")))
     distance = haversine_km(F.col("a_lat"), F.col("a_lon"), F.col("b_lat"), F.col("b_lon"))

@@ -8,17 +8,16 @@ from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
 from fieldloom.durable import durable
 from fieldloom.functions.geo import wrap_lon
+from fieldloom.operators.aggregates import with_next
 
 
 def nearest_slot(df: DataFrame, time: str, slots: DataFrame, slot: str, out: str = "slot", bucket_seconds: int = 86_400) -> DataFrame:
     """``df`` with ``out``: the slot nearest in time, of two equally near the earlier; null times and an empty slot table give null.
 
     Between two slots the choice is known, so each interval of neighbouring slots is spread over the time buckets it
-    touches and joined by bucket: an equi-join, whatever the sizes. The window over the distinct slots is bounded by the
-    calendar.
+    touches and joined by bucket: an equi-join, whatever the sizes. Neighbouring slots come from range partitions.
     """
-    s = slots.select(F.col(slot).cast("timestamp").alias("__a")).filter("__a IS NOT NULL").distinct()
-    s = s.withColumn("__b", F.lead("__a").over(W.orderBy("__a")))
+    s = with_next(slots.select(F.col(slot).cast("timestamp").alias("__a")), "__a", "__b")
     ends = {"__first": s.agg(F.unix_micros(F.min("__a"))).scalar(), "__last": s.agg(F.unix_micros(F.max("__a"))).scalar()}
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
     bucket = lambda c: F.floor(micros(c) / (bucket_seconds * 1_000_000))
@@ -31,37 +30,58 @@ def nearest_slot(df: DataFrame, time: str, slots: DataFrame, slot: str, out: str
     return x.withColumn(out, chosen.cast("timestamp_ntz")).drop("__t", "__k", "__k2", "__a", "__b", "__first", "__last")
 
 
-def nearest_point(points: DataFrame, lat: str, lon: str, places: DataFrame, place_lat: str, place_lon: str, place_key: str, first_cell: float | None = None, factor: int = 4) -> DataFrame:
+def _ancestor(code: Column, by: int) -> Column:
+    """The cell ``by`` levels above a cell code (row in the upper, column in the lower 32 bits)."""
+    return F.shiftleft(F.shiftright(F.shiftright(code, 32), by), 32).bitwiseOR(F.shiftright(code.bitwiseAND(F.lit(0xFFFFFFFF)), by))
+
+
+def nearest_point(points: DataFrame, lat: str, lon: str, places: DataFrame, place_lat: str, place_lon: str, place_key: str, step: int = 3) -> DataFrame:
     """Distinct locations of ``points`` with the place nearest in plane degrees: lat, lon, place_key, distance.
 
-    Of equally near places the smallest key wins. Locations are looked up in grid cells that grow by ``factor``: a place
-    among the nine cells around is final if it is no farther than a cell's width; the rest goes on to the next size.
-    The first size is such that cells hold about one place; the last spans all, so every location is answered exactly. Null and NaN coordinates take no part; without
-    places the result is empty.
+    Of equally near places the smallest key wins. Both sides are put into one quadtree over the space they span, deep
+    enough that its cells hold few places. The descent goes level by level over pairs of cells with their tight boxes: a
+    cell of locations keeps those cells of places that may be as near as the best bound of any. Only the locations and
+    places of the pairs left at the leaves are measured, so no task meets all places. Null and NaN coordinates take no part;
+    without places the result is empty.
     """
     ok = lambda a, b: F.col(a).isNotNull() & F.col(b).isNotNull() & ~F.isnan(F.col(a).cast("double")) & ~F.isnan(F.col(b).cast("double"))
-    p = places.filter(ok(place_lat, place_lon)).groupBy(F.col(place_lat).cast("double").alias("__pa"), F.col(place_lon).cast("double").alias("__po")).agg(F.min(place_key).alias(place_key))
-    x = points.filter(ok(lat, lon)).select(F.col(lat).cast("double").alias("__la"), F.col(lon).cast("double").alias("__lo")).distinct()
+    p = places.filter(ok(place_lat, place_lon)).groupBy(F.col(place_lat).cast("double").alias("py"), F.col(place_lon).cast("double").alias("px")).agg(F.min(place_key).alias("pk"))
+    x = points.filter(ok(lat, lon)).select(F.col(lat).cast("double").alias("xy"), F.col(lon).cast("double").alias("xx")).distinct()
     p, x = durable(p), durable(x)
-    e = [d.agg(*[g(c).alias(f"{g.__name__}{k}") for g in (F.min, F.max) for k, c in enumerate(cs)], F.count(F.lit(1)).alias("n")).first() for d, cs in ((p, ("__pa", "__po")), (x, ("__la", "__lo")))]
-    span = 1.0 if not (e[0]["n"] and e[1]["n"]) else max(max(e[0][f"max{k}"], e[1][f"max{k}"]) - min(e[0][f"min{k}"], e[1][f"min{k}"]) for k in (0, 1)) + 1.0
-    first_cell = first_cell or max(span / max(1.0, math.sqrt(e[0]["n"])), 1e-6)
-    done, size = None, first_cell
-    while True:
-        last = size >= span
-        cell = lambda c: F.floor(F.col(c) / size)  # noqa: E731, B023
-        around = [F.struct((cell("__pa") + i).alias("i"), (cell("__po") + j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)]
-        near = p.select("*", F.explode(F.array(*around)).alias("__c"))
-        d = F.sqrt(F.pow(F.col("__la") - F.col("__pa"), 2) + F.pow(F.col("__lo") - F.col("__po"), 2))
-        best = x.withColumn("__c", F.struct(cell("__la").alias("i"), cell("__lo").alias("j"))).join(near, "__c", "left").groupBy("__la", "__lo").agg(F.min(F.when(F.col(place_key).isNotNull(), F.struct(d.alias("d"), F.col(place_key).alias("k")))).alias("b"))
-        best = best if last else durable(best)
-        final = F.col("b").isNotNull() if last else F.coalesce(F.col("b.d") <= size, F.lit(False))
-        part = best.filter(final).select(F.col("__la").alias(lat), F.col("__lo").alias(lon), F.col("b.k").alias(place_key), F.col("b.d").alias("distance"))
-        done = part if done is None else done.unionByName(part)
-        if last:
-            return done
-        x = best.filter(~final).select("__la", "__lo")
-        size *= factor
+    ends = [t.agg(*[g(f"{s}{c}").alias(f"{n}{c}") for n, g in (("lo", F.min), ("hi", F.max)) for c in "yx"], F.count(F.lit(1)).alias("n")).first() for t, s in ((p, "p"), (x, "x"))]
+    some = [e for e in ends if e["n"]] or [{"loy": 0.0, "lox": 0.0, "hiy": 0.0, "hix": 0.0}]
+    low = {c: min(e[f"lo{c}"] for e in some) for c in "yx"}
+    span = max(max(e[f"hi{c}"] for e in some) - low[c] for c in "yx") * (1 + 1e-9) or 1.0
+    depth = min(24, 4 + int(math.log2(max(1, ends[0]["n"])) / 2))
+    n = 1 << depth
+
+    def leaves(t: DataFrame, s: str) -> DataFrame:
+        cell = lambda c: F.least(F.floor((F.col(f"{s}{c}") - low[c]) / span * n), F.lit(n - 1)).cast("long")
+        return t.withColumn(f"{s}c", F.shiftleft(cell("y"), 32).bitwiseOR(cell("x")))
+
+    p, x = leaves(p, "p"), leaves(x, "x")
+    box = lambda s: [f(f"{s}{c}").alias(f"{s}{k}{c}") for k, f in (("l", F.min), ("h", F.max)) for c in "yx"]
+    tops = {s: durable(t.groupBy(f"{s}c").agg(*box(s))) for s, t in (("p", p), ("x", x))}
+
+    def nodes(s: str, up: int, above: int) -> DataFrame:
+        t = tops[s]
+        if up:
+            t = t.groupBy(_ancestor(F.col(f"{s}c"), up).alias(f"{s}c")).agg(*[f(f"{s}{k}{c}").alias(f"{s}{k}{c}") for k, f in (("l", F.min), ("h", F.max)) for c in "yx"])
+        return t.withColumn(f"{s}u", _ancestor(F.col(f"{s}c"), above - up))
+
+    gap = lambda c: F.greatest(F.lit(0.0), F.col(f"pl{c}") - F.col(f"xh{c}"), F.col(f"xl{c}") - F.col(f"ph{c}"))
+    far = lambda c: F.greatest(F.abs(F.col(f"ph{c}") - F.col(f"xl{c}")), F.abs(F.col(f"xh{c}") - F.col(f"pl{c}")))
+    pairs, above = points.sparkSession.range(1).select(F.col("id").alias("a"), F.col("id").alias("b")), depth
+    for up in [*range(depth - (depth % step or step), 0, -step), 0]:
+        met = pairs.join(nodes("x", up, above), F.col("a") == F.col("xu")).join(nodes("p", up, above), F.col("b") == F.col("pu"))
+        met = met.select(F.col("xc").alias("a"), F.col("pc").alias("b"), (F.pow(gap("y"), 2) + F.pow(gap("x"), 2)).alias("near"), (F.pow(far("y"), 2) + F.pow(far("x"), 2)).alias("far"))
+        best = F.min("far").over(W.partitionBy("a"))  # a cell's pairs are the few that its parent kept, times 4^step
+        pairs, above = met.withColumn("bound", best).filter(F.col("near") <= F.col("bound") * (1 + 1e-12)).select("a", "b"), up
+    pairs = durable(pairs)
+    d = F.sqrt(F.pow(F.col("xy") - F.col("py"), 2) + F.pow(F.col("xx") - F.col("px"), 2))
+    met = x.join(pairs, F.col("xc") == F.col("a")).join(p, F.col("b") == F.col("pc"))
+    best = met.groupBy("xy", "xx").agg(F.min(F.struct(d.alias("d"), F.col("pk").alias("k"))).alias("m"))
+    return best.select(F.col("xy").alias(lat), F.col("xx").alias(lon), F.col("m.k").alias(place_key), F.col("m.d").alias("distance"))
 
 
 def cells_in_boxes(boxes: DataFrame, keys: list[str], lat0: str, lat1: str, lon0: str, lon1: str, step: float = 0.25) -> DataFrame:
@@ -99,6 +119,42 @@ def polygon_cells(polygons: DataFrame, keys: list[str], ring: str, step: float =
     return x.filter(crossings % 2 == 1).select(*keys, "lat_idx", "lon_idx")
 
 
+def _crossings(edges: Column, px: Column, py: Column) -> Column:
+    """How many edges (x1, y1, x2, y2) a ray to the east of the point crosses."""
+    crossed = lambda e: ((e["y1"] > py) != (e["y2"] > py)) & (px < (e["x2"] - e["x1"]) * (py - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"])
+    return F.aggregate(edges, F.lit(0), lambda a, e: a + F.when(crossed(e), 1).otherwise(0))
+
+
+def points_in_regions(points: DataFrame, lat: str, lon: str, regions: DataFrame, key: str, rings: str, cell: float = 1.0) -> DataFrame:
+    """``points`` joined to every region that contains them: their columns and ``key``.
+
+    ``rings``: array<array<struct<x double, y double>>> of outer rings and holes, closed or not; by the even-odd rule a point
+    in a hole is outside, and islands within holes are inside. Points on a western or southern edge are inside. A region is
+    cut into cells of ``cell`` degrees once: a cell that no edge touches lies inside or outside as a whole, and the points of
+    the inner ones are accepted untested; only in cells with edges is the point tested, against those edges that cross the
+    cell's band of latitude. The join is an equi-join on the cell. Null and NaN coordinates and empty rings match nothing.
+    """
+    f = lambda c: F.floor(c / cell).cast("int")
+    ring_edges = lambda r: F.transform(r, lambda p, i: F.struct(p["x"].alias("x1"), p["y"].alias("y1"), F.element_at(r, F.when(i + 1 < F.size(r), i + 2).otherwise(F.lit(1)))["x"].alias("x2"), F.element_at(r, F.when(i + 1 < F.size(r), i + 2).otherwise(F.lit(1)))["y"].alias("y2")))
+    edges = F.flatten(F.transform(F.filter(rings, lambda r: F.size(r) >= 3), ring_edges))
+    r = regions.select(F.col(key).alias("__key"), edges.alias("__e")).filter(F.size("__e") > 0)
+    bound = lambda g, c: g(F.transform("__e", lambda e: e[c]))
+    r = r.withColumn("__i", F.explode(F.sequence(f(bound(F.array_min, "y1")), f(bound(F.array_max, "y1")))))
+    # The edges that cross the band of the row; only those can be crossed by a ray within it.
+    south, north = F.col("__i") * cell, (F.col("__i") + 1) * cell
+    r = r.withColumn("__e", F.filter("__e", lambda e: (F.greatest(e["y1"], e["y2"]) >= south) & (F.least(e["y1"], e["y2"]) <= north))).filter(F.size("__e") > 0)
+    r = r.withColumn("__j", F.explode(F.sequence(f(F.array_min(F.transform("__e", lambda e: F.least(e["x1"], e["x2"])))), f(F.array_max(F.transform("__e", lambda e: F.greatest(e["x1"], e["x2"])))))))
+    west, east = F.col("__j") * cell, (F.col("__j") + 1) * cell
+    touched = F.exists("__e", lambda e: (F.greatest(e["x1"], e["x2"]) >= west) & (F.least(e["x1"], e["x2"]) <= east))
+    whole = F.when(~touched, _crossings(F.col("__e"), (west + east) / 2, (south + north) / 2) % 2 == 1)
+    r = r.withColumn("__in", whole).filter(F.col("__in").isNull() | F.col("__in"))
+    r = r.select("__key", "__i", "__j", F.when(F.col("__in").isNull(), F.col("__e")).alias("__e"))
+    y, x = F.col(lat).cast("double"), F.col(lon).cast("double")
+    at = points.filter(y.isNotNull() & x.isNotNull() & ~F.isnan(y) & ~F.isnan(x)).withColumns({"__i": f(y), "__j": f(x)})
+    met = at.join(r, ["__i", "__j"]).filter(F.col("__e").isNull() | (_crossings(F.col("__e"), x, y) % 2 == 1))
+    return met.withColumn(key, F.col("__key")).drop("__i", "__j", "__e", "__key")
+
+
 def points_in_boxes(points: DataFrame, lat: str, lon: str, boxes: DataFrame, key: str, lat0: str, lat1: str, lon0: str, lon1: str, cell: float = 1.0) -> DataFrame:
     """``points`` joined to every box that holds them, edges included; an equi-join on coarse cells and an exact test after it."""
     f = lambda c: F.floor(F.col(c) / cell)
@@ -166,9 +222,8 @@ def media_pairs(images: DataFrame, sounds: DataFrame, key: str, image_order: str
 
 
 def consecutive_pairs(times: DataFrame, time: str) -> DataFrame:
-    """(t0, t1) of neighbouring distinct times; the window is bounded by the calendar, and the last time has no pair."""
-    x = times.select(F.col(time).alias("t0")).filter("t0 IS NOT NULL").distinct()
-    return x.withColumn("t1", F.lead("t0").over(W.orderBy("t0"))).filter("t1 IS NOT NULL")
+    """(t0, t1) of neighbouring distinct times; the last time has no pair, nulls don't count."""
+    return with_next(times.select(F.col(time).alias("t0")), "t0", "t1").filter("t1 IS NOT NULL")
 
 
 def wrapped(df: DataFrame, lon: str) -> DataFrame:

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from fieldloom.durable import durable
 from fieldloom.operators.joins import fingerprint, new_rows
 
 
@@ -32,18 +36,35 @@ def write_wide(df: DataFrame, path: str, keys: list[str], column: str, columns:
     wide.write.mode("overwrite").option("header", "true").csv(path)
 
 
-def write_parquet(df: DataFrame, path: str, by: list[str] | None = None, codec: str = "zstd", mode: str = "overwrite") -> None:
-    """Parquet, in one folder a value of ``by`` (rows are brought together by it first, so that a folder has few files)."""
-    w = (df.repartition(*by, F.pmod(F.spark_partition_id(), F.lit(4))) if by else df).write.mode(mode).option("compression", codec)
-    (w.partitionBy(*by) if by else w).parquet(path)
+def write_parquet(df: DataFrame, path: str, by: list[str] | None = None, codec: str = "zstd", mode: str = "overwrite", rows_a_file: int = 5_000_000) -> None:
+    """Parquet, in one folder a value of ``by``. Rows are brought together by it first, so that a folder has few files; a value
+    is spread over as many tasks as its number of rows asks for (``rows_a_file`` each), which are counted first."""
+    if not by:
+        df.write.mode(mode).option("compression", codec).parquet(path)
+        return
+    sizes = df.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / rows_a_file).cast("int").alias("__files")).filter("__files > 1").withColumnsRenamed({c: f"__k_{c}" for c in by})
+    same = reduce(lambda a, b: a & b, [F.col(f"`{c}`").eqNullSafe(F.col(f"`__k_{c}`")) for c in by])
+    spread = df.join(sizes, same, "left").select(*[F.col(f"`{c}`") for c in df.columns], F.floor(F.rand(1) * F.coalesce("__files", F.lit(1))).alias("__f"))
+    spread.repartition(*by, "__f").drop("__f").write.mode(mode).option("compression", codec).partitionBy(*by).parquet(path)
 
 
 def write_new_windows(df: DataFrame, path: str, window: str = "window_start") -> None:
-    """Append training windows that aren't there yet, one folder a window."""
+    """Append training windows that aren't there yet, one folder a window.
+
+    A window counts as there only if it has as many rows as it should: one that a failed run left in part is written anew, as
+    its folder is replaced as a whole (dynamic partition overwrite). Each run writes the windows it replaces completely.
+    """
     spark = df.sparkSession
     if _exists(spark, path):
-        df = df.join(spark.read.parquet(path).select(F.col(window).cast(df.schema[window].dataType)).distinct(), window, "left_anti")
-    write_parquet(df, path, [window], mode="append")
+        there = spark.read.parquet(path).groupBy(F.col(window).cast(df.schema[window].dataType).alias(window)).agg(F.count(F.lit(1)).alias("__n"))
+        wanted = df.groupBy(window).agg(F.count(F.lit(1)).alias("__n"))
+        df = df.join(durable(wanted.join(there, [window, "__n"], "left_anti").select(window)), window, "left_semi")
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        write_parquet(df, path, [window])
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -57,9 +78,31 @@ def sorted_times(df: DataFrame, column: str) -> DataFrame:
     return df.select(t.alias("timestamp")).filter("timestamp IS NOT NULL").distinct().orderBy("timestamp")
 
 
-def unprocessed(items: DataFrame, log: DataFrame, key: str) -> DataFrame:
-    """Items that the log doesn't have."""
-    return items.join(log.select(key), key, "left_anti")
+def process_once(items: DataFrame, log: str, key: str, work: Callable[[DataFrame], None]) -> int:
+    """``work`` on the items that the log (a Parquet table of keys) doesn't have yet, which then are added to it; their number.
+
+    Keys are logged only after the work is done, so a failed run is done again. Null keys are never logged and always worked on.
+    """
+    spark = items.sparkSession
+    todo = durable(items.join(spark.read.parquet(log).select(key), key, "left_anti") if _exists(spark, log) else items)
+    work(todo)
+    append_new(todo.select(key).filter(F.col(key).isNotNull()), log, key)
+    return todo.count()
+
+
+def merge_columns(df: DataFrame, path: str, keys: list[str]) -> None:
+    """A wide CSV table with the columns of ``df`` added or replaced: rows are matched by ``keys``, those of one side stay, a
+    column that ``df`` has counts as a whole from ``df``; columns after the keys are in order of name. Keys occur once a side
+    (of several rows the largest values). The new table is written beside and then takes the place of the old one."""
+    spark = df.sparkSession
+    new = [c for c in df.columns if c not in keys]
+    one = lambda x, cs: x.groupBy(*[F.col(k).cast("string").alias(k) for k in keys]).agg(*[F.max(f"`{c}`").cast("string").alias(c) for c in cs])
+    out = one(df, new)
+    if _exists(spark, path):
+        old = spark.read.option("header", "true").csv(path)
+        out = one(old, [c for c in old.columns if c not in keys and c not in new]).join(out, keys, "full")
+    out = out.select(*keys, *[F.col(f"`{c}`") for c in sorted(c for c in out.columns if c not in keys)])
+    durable(out).write.mode("overwrite").option("header", "true").csv(path)
 
 
 def write_media_name(path: str) -> str:
