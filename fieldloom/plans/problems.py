@@ -64,6 +64,11 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return drift.schema_changes(table(spark, d, "raw_records"))
 
 
+def p4_paths(spark: SparkSession, d: str) -> DataFrame:
+    """Changes of all paths, those within objects and arrays too."""
+    return drift.schema_changes(table(spark, d, "raw_records"), nested=True)
+
+
 def p4_cell_cube(spark: SparkSession, d: str) -> DataFrame:
     return drift.consistent_table(table(spark, d, "raw_records"), "cell_cube")
 
@@ -82,7 +87,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return out(s, "species_dataset", "record_id").unionByName(out(o, "occurrence_dump", "occurrence_id"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_distances, p2_found, p2_species_dataset, p2_agri_grid, p2_ndvi_grid, p3_found, p3_series, p4_found, p4_cell_cube, p4_era5_single, p6_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_distances, p2_found, p2_species_dataset, p2_agri_grid, p2_ndvi_grid, p3_found, p3_series, p4_found, p4_paths, p4_cell_cube, p4_era5_single, p6_found)}
 
 _NEAR = """
 WITH s AS (SELECT DISTINCT site_id, latitude AS la, CASE WHEN longitude >= 180 THEN longitude - 360 ELSE longitude END AS lo FROM distribution

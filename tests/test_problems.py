@@ -269,3 +269,30 @@ def test_slow_residuals_are_bridged(spark):
     out = regular.regular_monthly(spark.createDataFrame([(1, m, f(m)) for m in month], "s int, m int, v double"), ["s"], "m", "v", ["s"])
     worst = max(abs(r["filled"] - f(r["m"])) for r in out.filter("is_missing").collect())
     assert worst < 2.0
+
+
+def test_drift_of_nested_paths(spark):
+    old = '{"specieskey": 1, "where": {"cell": "a", "at": [{"x": 1}, {"x": 2}]}}'
+    new = '{"specieskey": 1, "where": {"cell": 5, "at": [{"x": 1, "y": {"z": true}}]}}'
+    data = [(i, 1, "cell_cube", 1, old) for i in range(3)] + [(10 + i, 1, "cell_cube", 2, new) for i in range(3)]
+    df = spark.createDataFrame(data, RAW)
+    assert rows(drift.schema_changes(df)) == []
+    assert rows(drift.schema_changes(df, nested=True)) == [(1, 2, "where.at[].y", "added"), (1, 2, "where.at[].y.z", "added"), (1, 2, "where.cell", "retyped")]
+
+
+def test_unlisted_spellings_are_inferred_from_statistics(spark):
+    r = random.Random(6)
+    cell = lambda: f"10kmE{r.randrange(100, 900)}N{r.randrange(100, 900)}"
+    old = [f'{{"specieskey": {r.randrange(9100000, 9200000)}, "eeacellcode": "{cell()}", "occurrences": {r.randrange(20)}}}' for _ in range(50)]
+    new = [f'{{"art_nr": {r.randrange(9100000, 9200000)}, "rasterzelle": "{cell()}", "occurrences": {r.randrange(20)}, "bemerkung": "no value known here"}}' for _ in range(50)]
+    df = spark.createDataFrame([(i, 1, "cell_cube", 1 + i // 50, p) for i, p in enumerate(old + new)], RAW)
+    assert rows(drift.schema_changes(df)) == [(1, 2, "bemerkung", "added"), (1, 2, "eeacellcode", "renamed"), (1, 2, "specieskey", "renamed")]
+    plain = rows(drift.schema_changes(df, infer=False))
+    assert (1, 2, "art_nr", "added") in plain and (1, 2, "specieskey", "removed") in plain
+
+
+def test_any_feed_kind_and_conflicting_keys(spark):
+    df = spark.createDataFrame([(1, 1, "gauge", 1, '{"level": 1.5, "ok": true}'), (2, 1, "gauge", 1, '{"level": "x", "ok": false}'), (3, 1, "gauge", 1, '{"level": 2.5, "ok": true}'), (4, 2, "cell_cube", 1, '{"n": 3, "occurrences": 4}')], RAW)
+    got = {x["raw_id"]: x for x in drift.consistent_table(df, "gauge").collect()}
+    assert got[1]["level"] == 1.5 and got[2]["level"] is None and got[2]["failed_casts"] == ["level"] and got[3]["conflicts"] == []
+    assert drift.consistent_table(df, "cell_cube").first()["conflicts"] == ["occurrences"]
