@@ -7,6 +7,7 @@ import argparse
 from pyspark.sql import SparkSession, functions as F
 
 from fieldloom.operators import aggregates, batch
+from fieldloom.operators.joins import consecutive_pairs
 from fieldloom.sources import catalog, sinks
 
 
@@ -19,6 +20,12 @@ def main(args: list[str] | None = None) -> None:
     add("stats", "--cube", "--out")
     add("inspect", "--cube")
     add("species-cube", "--input", "--out")
+    add("get-max-index", "--cube")
+    add("run-single", "--cube", "--out", "--index")
+    for name in ("windows", "run-single"):
+        sub.choices[name].add_argument("--fill-nan", type=float)
+    sub.choices["get-max-index"].add_argument("--chunk", type=int, default=1)
+    sub.choices["run-single"].add_argument("--chunk", type=int, default=1)
     sub.choices["windows"].add_argument("--start")
     sub.choices["windows"].add_argument("--end")
     sub.choices["windows"].add_argument("--max-windows", type=int)
@@ -37,7 +44,16 @@ def main(args: list[str] | None = None) -> None:
         w = batch.windows(x, "time")
         if a.max_windows:
             w = w.join(F.broadcast(w.select("window_start").distinct().orderBy("window_start").limit(a.max_windows)), "window_start", "left_semi")
-        sinks.write_new_windows(w, a.out)
+        sinks.write_new_windows(w if a.fill_nan is None else w.fillna(a.fill_nan), a.out)
+    elif a.command in ("get-max-index", "run-single"):
+        # Windows are numbered from 0 by their start; a job of an array takes those of one chunk.
+        starts = aggregates.ranked(consecutive_pairs(spark.read.parquet(a.cube), "time").select("t0"), ["t0"])
+        if a.command == "get-max-index":
+            print((starts.count() - 1) // a.chunk)
+        else:
+            mine = starts.filter(F.floor(F.col("rank") / a.chunk) == int(a.index)).select(F.col("t0").alias("window_start"))
+            w = batch.windows(spark.read.parquet(a.cube), "time").join(mine, "window_start", "left_semi")
+            sinks.write_new_windows(w if a.fill_nan is None else w.fillna(a.fill_nan), a.out)
     elif a.command == "stats":
         sinks.write_json(aggregates.moments(spark.read.parquet(a.cube), "value", a.by.split(",")), a.out)
     elif a.command == "inspect":

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +26,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not (master == "local" or master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="fieldloom-checkpoint-")
+        atexit.register(shutil.rmtree, path, True)
     sc.setCheckpointDir(path)
     return path
 
@@ -32,3 +35,13 @@ def durable(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and go on from there, with the lineage cut."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def forget(spark: SparkSession) -> None:
+    """Delete what this session has written to its checkpoint folder; results that still read from it are lost. For long sessions
+    between runs; with ``spark.cleaner.referenceTracking.cleanCheckpoints`` Spark itself deletes what is no longer referenced."""
+    current = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if current.isDefined():
+        path = spark._jvm.org.apache.hadoop.fs.Path(current.get())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        spark.sparkContext._jsc.sc().setCheckpointDir(str(path.getParent()))

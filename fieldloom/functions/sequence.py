@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, functions as F, types as T
 
 from fieldloom.functions.let import let
 
@@ -30,13 +32,24 @@ def kmer_index(kmer: Column, k: int) -> Column:
 
 
 def kmer_vector(seq: Column, k: int) -> Column:
-    """Relative frequencies of all 4^k k-mers in order; all 0 for texts shorter than k."""
-    n = F.greatest(F.length(seq) - k + 1, F.lit(1))
-    # All k-mers are put behind the found ones and sorted; each one's count is the length of its run less one, from the places of its last and of the one before.
-    found = F.filter(F.transform(kmers(seq, k), lambda x: kmer_index(x, k)), lambda x: x.isNotNull())
-    every = F.sequence(F.lit(0), F.lit(4**k - 1))
-    lasts = let(F.array_sort(F.concat(found, every)), lambda s: F.filter(F.transform(s, lambda x, i: F.when((i + 1 == F.size(s)) | (F.get(s, i + 1) != x), i)), lambda x: x.isNotNull()))
-    return let(lasts, lambda e: F.transform(e, lambda x, i: (x - F.when(i == 0, F.lit(-1)).otherwise(F.get(e, i - 1)) - 1) / n))
+    """Relative frequencies of all 4^k k-mers in order; all 0 for null and for texts shorter than k. Counted in Arrow batches, one
+    pass over the letters whatever k; k-mers with other letters don't count."""
+    digit = np.full(256, -1, dtype=np.int64)
+    digit[[ord(c) for c in "ACGT"]] = range(4)
+
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def run(values: pd.Series) -> pd.Series:
+        out = []
+        for v in values:
+            d = digit[np.frombuffer((v or "").encode("latin-1", "replace"), dtype=np.uint8)]
+            n = len(d) - k + 1
+            code, good = np.zeros(max(n, 0), dtype=np.int64), np.ones(max(n, 0), dtype=bool)
+            for i in range(k if n > 0 else 0):
+                code, good = code * 4 + d[i : i + n], good & (d[i : i + n] >= 0)
+            out.append(np.bincount(code[good], minlength=4**k) / max(n, 1))
+        return pd.Series(out, dtype=object)
+
+    return run(seq)
 
 
 def l1_normalised(vector: Column) -> Column:

@@ -26,10 +26,12 @@ DAY_PARTS = {"Midday": "12:00", "Dawn": "06:00", "Dawn (at dusk)": "06:00", "Sun
 
 
 def free_clock(time: Column) -> Column:
-    """HH:mm of a free-text time: parts of the day by DAY_PARTS, ``9.20 pm``, a bare hour of two digits; any other or impossible text is 00:00."""
+    """HH:mm of a free-text time: parts of the day by DAY_PARTS (am and pm in any letter case), ``9.20 pm``, a bare hour of two digits; any other or impossible text is 00:00."""
     t = F.trim(time)
     dotted = F.replace(t, F.lit("."), F.lit(":"))
-    words = F.try_element_at(F.create_map(*[F.lit(x) for kv in DAY_PARTS.items() for x in kv]), t)
+    table = F.create_map(*[F.lit(x) for kv in DAY_PARTS.items() for x in kv])
+    half_day = F.lower(t)
+    words = F.coalesce(F.try_element_at(table, t), F.when(half_day.isin("am", "pm"), F.try_element_at(table, half_day)))
     h, m = F.regexp_extract(dotted, r"^(\d{1,2}):(\d{1,2})(?: ([ap]m))?$", 1).try_cast("int"), F.regexp_extract(dotted, r"^(\d{1,2}):(\d{1,2})(?: ([ap]m))?$", 2).try_cast("int")
     half = F.regexp_extract(dotted, r"^\d{1,2}:\d{1,2} ([ap]m)$", 1)
     hour = F.when(half == "", F.when(h.between(0, 23), h)).when(h.between(1, 12), h % 12 + F.when(half == "pm", 12).otherwise(0))

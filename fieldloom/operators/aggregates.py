@@ -164,3 +164,18 @@ def ranked(df: DataFrame, order: list[str]) -> DataFrame:
     before = sizes.withColumn("__b", F.coalesce(F.sum("__n").over(W.orderBy("__p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("__n")
     own = F.row_number().over(W.partitionBy("__p").orderBy(*order)) - 1
     return x.withColumn("__own", own).join(F.broadcast(before), "__p").withColumn("rank", (F.col("__own") + F.col("__b")).cast("long")).drop("__p", "__own", "__b")
+
+
+def top_species_after(df: DataFrame, species: str, first: list[int], n: int) -> DataFrame:
+    """``species`` and ``place`` from 1: the listed ids in their order, whether observed or not, then the ``n`` most frequent species
+    (ties by the smaller id). A listed species that is frequent too is there twice, as the two lists are independent."""
+    listed = df.sparkSession.createDataFrame([(s, i) for i, s in enumerate(first, 1)], f"{species} long, place int")
+    top = top_species(df, species, n)
+    numbered = top.withColumn("place", (F.row_number().over(W.orderBy(F.desc("n"), species)) + len(first)).cast("int"))  # n rows
+    return listed.unionByName(numbered.select(F.col(species).cast("long").alias(species), "place"))
+
+
+def years_by_folder(df: DataFrame, folder: str, time: str) -> DataFrame:
+    """The distinct years of each folder's records, sorted; texts that name no time don't count. The list is bounded by the calendar."""
+    t = F.coalesce(*[F.try_to_timestamp(F.col(time).cast("string"), F.lit(f)) for f in ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm:ss.SSS", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd")])
+    return df.withColumn("__y", F.year(t)).filter(F.col(folder).isNotNull() & F.col("__y").isNotNull()).groupBy(folder).agg(F.sort_array(F.collect_set("__y")).alias("years"))

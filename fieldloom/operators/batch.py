@@ -35,8 +35,11 @@ def zscore(df: DataFrame, stats: DataFrame, by: list[str], value: str, inverse:
 def windows(cube: DataFrame, time: str) -> DataFrame:
     """Every pair of consecutive times as a window: ``window_start``, ``t`` (0 or 1) and the rows of ``cube`` at that time.
 
-    All windows come from one equi-join on time; a row is repeated twice, once a window it is in.
+    All windows come from one equi-join on time; a row is repeated twice, once a window it is in. Columns of ``cube`` of these two
+    names get ``_cube`` behind them.
     """
+    clash = {c: f"{c}_cube" for c in cube.columns if c in ("window_start", "t")}
+    cube, time = cube.withColumnsRenamed(clash), clash.get(time, time)
     pairs = consecutive_pairs(cube, time)
     parts = pairs.select(F.col("t0").alias("window_start"), F.explode(F.array(F.struct(F.lit(0).alias("t"), F.col("t0").alias("__at")), F.struct(F.lit(1).alias("t"), F.col("t1").alias("__at")))).alias("p"))
     return cube.join(parts.select("window_start", "p.t", "p.__at"), F.col(time) == F.col("__at")).drop("__at")
@@ -70,3 +73,32 @@ def fuse_species(images: DataFrame, sounds: DataFrame, edna: DataFrame, distribu
     observed = pairs.unionByName(only_i).unionByName(only_s).unionByName(rest).withColumn("dist", F.lit(1.0))
     spread = keyed(distribution).select("species", F.lit("distribution").alias("kind"), F.col("id").alias("first_id"), F.lit(None).cast(distribution.schema["id"].dataType).alias("second_id"), "lat", "lon", "dist")
     return observed.unionByName(spread)
+
+
+def stacked_windows(df: DataFrame, time: str, slot: str, variable: str, level: str, cell: list[str], value: str, fill: float | None = 0.0) -> DataFrame:
+    """Tensors of each window and slot: window_start, ``slot``, ``variables`` and ``levels`` (sorted names and levels), and ``tensor``,
+    the values in the order of step (two), variable, level and cell, row-major.
+
+    Rows are reduced to one a step, variable, level and cell first (the largest value). A cell that has no value, or NaN, at a
+    step gets ``fill`` (with None it stays null); a variable that has no value at a level is filled too, so every tensor of a slot
+    has the same shape. Its length is that of the grid, whatever the data. Null keys drop out.
+    """
+    name, cells = slot, [f"__c{i}" for i in range(len(cell))]
+    names = dict(zip([time, slot, variable, level, *cell], ["__time", "__slot", "__var", "__lev", *cells]))
+    x = df.select(*[F.col(c).alias(n) for c, n in names.items()], F.nanvl(F.col(value).cast("double"), F.lit(None).cast("double")).alias("__v"))
+    x = x.dropna(subset=[*names.values()]).groupBy(*names.values()).agg(F.max("__v").alias("__v"))
+    time, slot, variable, level, cell = "__time", "__slot", "__var", "__lev", cells
+    w = windows(x, time)
+    axes = x.groupBy(slot).agg(F.sort_array(F.collect_set(variable)).alias("variables"), F.sort_array(F.collect_set(level)).alias("levels"), F.sort_array(F.collect_set(F.struct(*cell))).alias("__cells"))
+    at = w.join(axes, slot)
+    place = ((F.col("t") * F.size("variables") + F.array_position("variables", F.col(variable)) - 1) * F.size("levels") + F.array_position("levels", F.col(level)) - 1) * F.size("__cells") + F.array_position("__cells", F.struct(*[F.col(c) for c in cell])) - 1
+    at = at.select("window_start", slot, place.cast("int").alias("__p"), "__v")
+    have = at.groupBy("window_start", slot).agg(F.map_from_entries(F.collect_list(F.struct("__p", "__v"))).alias("__m")).join(axes, slot)
+    n = 2 * F.size("variables") * F.size("levels") * F.size("__cells")
+    tensor = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.coalesce(F.try_element_at("__m", i), F.lit(fill).cast("double")))
+    return have.select("window_start", F.col(slot).alias(name), "variables", "levels", tensor.alias("tensor"))
+
+
+def cast_tensor(tensor: Column, kind: str = "float") -> Column:
+    """Every value of a tensor as another type; values that don't fit are null."""
+    return F.transform(tensor, lambda v: v.try_cast(kind))

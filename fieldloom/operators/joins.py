@@ -229,3 +229,35 @@ def consecutive_pairs(times: DataFrame, time: str) -> DataFrame:
 def wrapped(df: DataFrame, lon: str) -> DataFrame:
     """``df`` with longitudes in -180 <= x < 180."""
     return df.withColumn(lon, wrap_lon(F.col(lon)))
+
+
+RANKS = ["phylum", "class", "order", "family", "genus"]
+
+
+def taxonomy(records: DataFrame, sources: list[DataFrame], key: str, ranks: list[str] | None = None) -> DataFrame:
+    """``records`` with every rank: from the first of ``sources`` (one table after the other, say eDNA before metadata) that has it
+    for the key, else the record's own, else Unknown. Of several rows a key the least value of each rank counts."""
+    ranks = ranks or RANKS
+    own = [c for c in ranks if c in records.columns]
+    x = records.withColumnsRenamed({c: f"__own_{c}" for c in own})
+    for i, s in enumerate(sources):
+        have = [c for c in ranks if c in s.columns]
+        x = x.join(s.groupBy(key).agg(*[F.min(F.nullif(F.col(c).cast("string"), F.lit("Unknown"))).alias(f"__{i}_{c}") for c in have]), key, "left")
+    pick = lambda c: F.coalesce(*[F.col(f"__{i}_{c}") for i, s in enumerate(sources) if c in s.columns], *([F.col(f"__own_{c}").cast("string")] if c in own else []), F.lit("Unknown"))
+    return x.select(*[c for c in records.columns if c not in ranks], *[pick(c).alias(c) for c in ranks])
+
+
+def country_lookup(df: DataFrame, code: str, countries: DataFrame) -> DataFrame:
+    """``df`` with ``country``, ``continent`` and the country's box from a table (iso, country, continent, lat_lo, lat_hi, lon_lo, lon_hi), by code
+    or by name, letter case and outer blanks aside; Unknown and null where there is none."""
+    name = normal_name(F.col(code))
+    c = countries.select(F.explode(F.array(normal_name(F.col("iso")), normal_name(F.col("country")))).alias("__k"), "iso", "country", "continent", "lat_lo", "lat_hi", "lon_lo", "lon_hi").filter("__k IS NOT NULL")
+    c = c.groupBy("__k").agg(F.min(F.struct("iso", "country", "continent", "lat_lo", "lat_hi", "lon_lo", "lon_hi")).alias("__c"))
+    x = df.withColumn("__k", name).join(c, "__k", "left").drop("__k")
+    return x.select(*df.columns, "__c.iso", F.coalesce("__c.country", F.lit("Unknown")).alias("country"), F.coalesce("__c.continent", F.lit("Unknown")).alias("continent"), "__c.lat_lo", "__c.lat_hi", "__c.lon_lo", "__c.lon_hi")
+
+
+def on_axis(df: DataFrame, column: str, axis: DataFrame, value: str, out: str = "idx") -> DataFrame:
+    """``df`` with the place of ``column`` on an axis (rows of ``value`` and ``idx``), -1 where the axis doesn't have it."""
+    a = axis.select(F.col(value).alias("__a"), F.col("idx").alias("__i"))
+    return df.join(a, F.col(column) == F.col("__a"), "left").withColumn(out, F.coalesce("__i", F.lit(-1))).drop("__a", "__i")

@@ -42,3 +42,22 @@ def folder_modalities(files: DataFrame, path: str) -> DataFrame:
     kind = F.coalesce(*[F.when(F.col(path).rlike(p), F.lit(m)) for m, p in MEDIA.items()])
     x = files.select(F.regexp_replace(path, r"/[^/]*$", "").alias("folder"), kind.alias("m")).filter("m IS NOT NULL")
     return x.groupBy("folder").agg(F.sort_array(F.collect_set("m")).alias("modalities"))
+
+
+def describe_cube(df: DataFrame, name: str, times: list[str], level: str, value: str) -> DataFrame:
+    """One row: name, the time column with the most distinct values (of equals the first), their number, the sorted levels, the type
+    of the value and how many rows have one. Levels are bounded by the cube's axis."""
+    n = [F.count_distinct(t).alias(f"__{i}") for i, t in enumerate(times)]
+    x = df.agg(*n, F.sort_array(F.collect_set(level)).alias("levels"), F.count(value).alias("n_values"))
+    best = F.array_max(F.array(*[F.struct(F.col(f"__{i}").alias("n"), F.lit(-i).alias("o"), F.lit(t).alias("t")) for i, t in enumerate(times)]))
+    return x.select(F.lit(name).alias("name"), best["t"].alias("time_column"), best["n"].alias("n_times"), "levels", F.lit(dict(df.dtypes)[value]).alias("value_type"), "n_values")
+
+
+def probe(spark: SparkSession, root: str) -> DataFrame:
+    """path, kind and valid of the Parquet and NetCDF files under ``root``, by the marks at their beginning and end; cut-off files are invalid, empty ones aren't listed."""
+    x = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).filter(F.col("path").rlike(r"\.(parquet|nc)$"))
+    head, tail = F.hex(F.substring("content", 1, 8)), F.hex(F.substring("content", -4, 4))
+    parquet = (head.startswith("50415231")) & (tail == "50415231") & (F.col("length") > 8)
+    netcdf = head.rlike("^43444601|^43444602|^43444605") | (head == "894844460D0A1A0A")
+    kind = F.regexp_extract("path", r"\.([a-z]+)$", 1)
+    return x.select("path", kind.alias("kind"), F.when(kind == "parquet", parquet).otherwise(netcdf).alias("valid"))

@@ -97,8 +97,18 @@ def annotations(spark: SparkSession, path: str) -> DataFrame:
     return x.fillna("Unknown", subset=ranks).withColumn("dimensions", F.concat_ws("x", "width", "height"))
 
 
+def regions(spark: SparkSession, path: str, name: str = "name") -> DataFrame:
+    """GeoJSON features: ``name`` and ``rings`` (array of arrays of x, y), all outer rings and holes of a polygon or multipolygon."""
+    j = spark.read.option("multiLine", "true").schema("features array<struct<properties map<string, string>, geometry struct<type string, coordinates string>>>").json(path)
+    x = j.select(F.inline("features")).select(F.try_element_at("properties", F.lit(name)).alias(name), F.col("geometry.type").alias("type"), F.col("geometry.coordinates").alias("c"))
+    one = F.from_json("c", "array<array<array<double>>>")
+    many = F.from_json("c", "array<array<array<array<double>>>>")
+    points = lambda r: F.transform(r, lambda p: F.struct(F.get(p, F.lit(0)).alias("x"), F.get(p, F.lit(1)).alias("y")))
+    return x.select(name, F.transform(F.when(F.col("type") == "Polygon", one).otherwise(F.flatten(many)), points).alias("rings"))
+
+
 def polygons(spark: SparkSession, path: str, name: str = "name") -> DataFrame:
-    """GeoJSON features: ``name`` and ``ring`` (array of x, y), one row an outer ring of a polygon or multipolygon."""
+    """GeoJSON features: ``name`` and ``ring`` (array of x, y), one row an outer ring of a polygon or multipolygon; holes are in ``regions``."""
     j = spark.read.option("multiLine", "true").schema("features array<struct<properties map<string, string>, geometry struct<type string, coordinates string>>>").json(path)
     x = j.select(F.inline("features")).select(F.try_element_at("properties", F.lit(name)).alias(name), F.col("geometry.type").alias("type"), F.col("geometry.coordinates").alias("c"))
     one = F.from_json("c", "array<array<array<double>>>")
@@ -107,6 +117,27 @@ def polygons(spark: SparkSession, path: str, name: str = "name") -> DataFrame:
     return x.select(name, F.explode(rings).alias("r")).select(name, F.transform("r", lambda p: F.struct(F.get(p, F.lit(0)).alias("x"), F.get(p, F.lit(1)).alias("y"))).alias("ring"))
 
 
+def csv_any_encoding(spark: SparkSession, path: str, schema: str, second: str = "ISO-8859-1") -> DataFrame:
+    """CSV files with a header, each in UTF-8 or, where its bytes are none, in ``second``. Only the names of the latter come to the driver."""
+    lines = spark.read.text(path).select("value", "_metadata.file_path")
+    other = [r["file_path"] for r in lines.filter(~F.is_valid_utf8("value")).select("file_path").distinct().collect()]
+    x = csv(spark, path, schema)
+    if not other:
+        return x
+    first = x.select("*", F.col("_metadata.file_path").alias("__file")).filter(~F.col("__file").isin(other)).drop("__file")
+    r = spark.read.option("header", "true").option("encoding", second).schema(schema).csv(other)
+    return first.unionByName(r)
+
+
+def descriptions(pages: DataFrame, key: str = "species", order: str = "seq", payload: str = "payload") -> DataFrame:
+    """Species descriptions from JSON records (text, redlist): the last record (by ``order``) with a text and with a red list code wins;
+    line breaks become blanks. Records that are no JSON give nothing."""
+    x = pages.select(key, order, F.from_json(payload, "text string, redlist string").alias("r")).filter("r IS NOT NULL")
+    flat = lambda c: F.nullif(F.trim(F.replace(F.replace(c, F.lit("\r"), F.lit("")), F.lit("\n"), F.lit(" "))), F.lit(""))
+    last = lambda c: F.max_by(c, F.when(c.isNotNull(), F.col(order)))
+    return x.groupBy(key).agg(last(flat(F.col("r.text"))).alias("text"), last(F.nullif(F.col("r.redlist"), F.lit(""))).alias("redlist"))
+
+
 def names_from_paths(spark: SparkSession, path: str) -> DataFrame:
     """Distinct last parts of the paths in a text file."""
     return spark.read.text(path).select(F.element_at(F.split(F.trim("value"), "/"), -1).alias("name")).filter("name <> ''").distinct()
