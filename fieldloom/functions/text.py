@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, Window as W
 
 from fieldloom.functions.let import let
 
@@ -42,8 +42,9 @@ def vocabulary(counts: DataFrame, most: int | None) -> DataFrame:
     return v if most is None else v.orderBy(F.desc("total"), "term").limit(most)
 
 
-def tfidf(counts: DataFrame, vocab: DataFrame, documents: int, key: str) -> DataFrame:
-    """(key, term, weight): n * (ln((1 + documents) / (1 + df)) + 1), each document to unit length."""
+def tfidf(counts: DataFrame, vocab: DataFrame, documents: int | Column, key: str) -> DataFrame:
+    """(key, term, weight): n * (ln((1 + documents) / (1 + df)) + 1), each document to unit length. The length comes from a window
+    over the document's terms, of which there are no more than the vocabulary has."""
     w = counts.join(vocab, "term").withColumn("w", F.col("n") * (F.log((F.lit(1.0) + documents) / (F.lit(1.0) + F.col("df"))) + 1))
-    norm = w.groupBy(key).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return w.join(norm, key).select(key, "term", (F.col("w") / F.col("norm")).alias("weight"))
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy(key)))
+    return w.select(key, "term", (F.col("w") / norm).alias("weight"))

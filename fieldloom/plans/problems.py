@@ -37,6 +37,16 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def p2_marks(spark: SparkSession, d: str) -> DataFrame:
+    """Every record of the three completed tables: its own value, and whether it got one."""
+    parts = []
+    for name, spec in (("species_dataset", impute.redlist_spec()), ("agri_grid", impute.agri_spec()), ("ndvi_grid", impute.ndvi_spec())):
+        x = impute.complete_table(table(spark, d, name), spec)
+        own = F.when(impute.usable(F.col(spec.target), spec.low, spec.high), F.col(spec.target).cast("double"))
+        parts.append(x.filter(own.isNotNull() | ~F.col("was_filled") | F.col(f"{spec.target}_filled").between(spec.low, spec.high)).select(F.lit(name).alias("table_name"), F.col(spec.key).alias("row_key"), own.alias("observed"), "was_filled"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def p2_species_dataset(spark: SparkSession, d: str) -> DataFrame:
     return impute.complete_table(table(spark, d, "species_dataset"), impute.redlist_spec())
 
@@ -59,6 +69,12 @@ def p3_series(spark: SparkSession, d: str) -> DataFrame:
     return regular.cube_series(table(spark, d, "cell_cube"))
 
 
+def p3_marks(spark: SparkSession, d: str) -> DataFrame:
+    """The complete series with its observed values; every missing month is marked and has an estimate."""
+    x = regular.cube_series(table(spark, d, "cell_cube")).filter("filled >= 0 AND (is_missing OR filled = occurrences)")
+    return x.select("specieskey", "eeacellcode", "period", F.round("occurrences", 6).alias("occurrences"), "is_missing")
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     """Changes of each file against the one before."""
     return drift.schema_changes(table(spark, d, "raw_records"))
@@ -87,7 +103,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return out(s, "species_dataset", "record_id").unionByName(out(o, "occurrence_dump", "occurrence_id"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_distances, p2_found, p2_species_dataset, p2_agri_grid, p2_ndvi_grid, p3_found, p3_series, p4_found, p4_paths, p4_cell_cube, p4_era5_single, p6_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_distances, p2_found, p2_marks, p2_species_dataset, p2_agri_grid, p2_ndvi_grid, p3_found, p3_marks, p3_series, p4_found, p4_paths, p4_cell_cube, p4_era5_single, p6_found)}
 
 _NEAR = """
 WITH s AS (SELECT DISTINCT site_id, latitude AS la, CASE WHEN longitude >= 180 THEN longitude - 360 ELSE longitude END AS lo FROM distribution
@@ -109,7 +125,7 @@ WITH r AS (SELECT DISTINCT cube_id, specieskey, trim(yearmonthday) AS d, upper(t
      q AS (SELECT specieskey,
              CASE WHEN g.e <> '' THEN '10km' || g.ew || try_cast(g.e AS BIGINT) || g.ns || try_cast(g.n AS BIGINT)
                   WHEN regexp_full_match(c, '[0-9]{8}') THEN '10kmE' || try_cast(left(c, 4) AS BIGINT) || 'N' || try_cast(right(c, 4) AS BIGINT) END AS cell,
-             try_cast(lpad(t.y, 4, '0') || '-' || lpad(t.m, 2, '0') || '-' || lpad(t.d, 2, '0') AS DATE) AS day, t.y AS y FROM p),
+             try_cast(lpad(t.y, 4, '0') || '-' || lpad(t.m, 2, '0') || '-' || lpad(t.d, 2, '0') AS DATE) AS day, t.y AS y, n FROM p),
      v AS (SELECT DISTINCT specieskey, cell, year(day) * 12 + month(day) - 1 AS m FROM q WHERE cell IS NOT NULL AND day IS NOT NULL AND try_cast(y AS INT) > 0),
      w AS (SELECT *, lead(m) OVER (PARTITION BY specieskey, cell ORDER BY m) AS m2 FROM v),
      x AS (SELECT specieskey, cell, unnest(range(m + 1, m2)) AS m FROM w WHERE m2 > m + 1)
@@ -143,7 +159,23 @@ def _fillable(name: str, key: str, group: str, target: str, low: float, high: fl
       SELECT k, max(ok) AS ok, max(max(ok)) OVER (PARTITION BY g) AS any_ok FROM (SELECT {key} AS k, {group} AS g, {ok}::INT AS ok FROM {name} WHERE {key} IS NOT NULL AND {group} IS NOT NULL) GROUP BY k, g) WHERE ok = 0 AND any_ok = 1"""
 
 
+def _marked(name: str, key: str, group: str, target: str, low: float, high: float) -> str:
+    ok = f"coalesce({target} BETWEEN {low} AND {high} AND NOT isnan({target}::DOUBLE), false)"
+    return f"""SELECT '{name}' AS table_name, k AS row_key, observed, ok = 0 AND coalesce(any_ok, 0) = 1 AND g IS NOT NULL AS was_filled FROM (
+      SELECT k, g, max(v) AS observed, max(ok) AS ok, max(max(ok)) OVER (PARTITION BY g) AS any_ok FROM (SELECT {key} AS k, {group} AS g, {ok}::INT AS ok, CASE WHEN {ok} THEN {target}::DOUBLE END AS v FROM {name} WHERE {key} IS NOT NULL) GROUP BY k, g)"""
+
+
 SQL = {
+    "p2_marks": " UNION ALL ".join(
+        [
+            _marked("species_dataset", "record_id", "species", "redlist", 1, 7),
+            _marked("agri_grid", "row_id", "variable_name || '|' || lower(trim(country))", "agri_2000", 0, 100),
+            _marked("ndvi_grid", "row_id", "latitude || '|' || longitude", "ndvi", -0.2, 1),
+        ]
+    ),
+    "p3_marks": _DATE3 + """, o AS (SELECT specieskey, cell, year(day) * 12 + month(day) - 1 AS m, sum(n) AS n FROM q WHERE cell IS NOT NULL AND day IS NOT NULL AND try_cast(y AS INT) > 0 GROUP BY ALL),
+      a AS (SELECT specieskey, cell, m, round(n, 6) AS occurrences, false AS is_missing FROM o UNION ALL SELECT specieskey, cell, m, NULL, true FROM x)
+      SELECT specieskey, cell AS eeacellcode, lpad((m // 12)::VARCHAR, 4, '0') || '-' || lpad((m % 12 + 1)::VARCHAR, 2, '0') AS period, occurrences, is_missing FROM a""",
     "p1_found": _NEAR + "SELECT DISTINCT site_id, record_id FROM m WHERE km <= 2",
     "p1_distances": _NEAR + "SELECT site_id, record_id, round(min(km), 6) AS distance_km FROM m WHERE km <= 2 GROUP BY ALL",
     "p2_found": " UNION ALL ".join(

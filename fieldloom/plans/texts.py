@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from fieldloom.durable import durable
 from fieldloom.functions import arrays as ar
 from fieldloom.functions import sequence as sq
 from fieldloom.functions import text as tx
@@ -63,8 +64,8 @@ def bag_of_words(spark: SparkSession, d: str) -> DataFrame:
 @query(f"WITH {_WORDS}, v AS (SELECT term, count(*) AS df FROM c GROUP BY term ORDER BY sum(n) DESC, term LIMIT 1000), x AS (SELECT doc_id, term, n * (ln((1.0 + (SELECT count(*) FROM documents)) / (1.0 + df)) + 1) AS w FROM c JOIN v USING (term)) SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM x")
 def tfidf(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
-    c = tx.term_counts(docs, "doc_id", tx.tokens(F.col("text")))
-    return tx.tfidf(c, tx.vocabulary(c, 1000), docs.count(), "doc_id").withColumn("weight", r6("weight"))
+    c = durable(tx.term_counts(docs, "doc_id", tx.tokens(F.col("text"))))  # read for the vocabulary and for the weights
+    return tx.tfidf(c, tx.vocabulary(c, 1000), docs.agg(F.count(F.lit(1))).scalar(), "doc_id").withColumn("weight", r6("weight"))
 
 
 @query(f"WITH t AS (SELECT doc_id, list_filter(string_split_regex({_CLEAN}, '[ \\t\\n\\r\\x0b\\f]+'), lambda x: x <> '') AS w FROM documents), g AS (SELECT unnest(list_transform(range(1, greatest(len(w), 1)), lambda i: w[i] || ' ' || w[i + 1])) AS term FROM t) SELECT term, count(*) AS n FROM g GROUP BY term")
