@@ -87,17 +87,25 @@ def dual_tree_pairs(left: DataFrame, right: DataFrame, radius_km: float, left_ke
     la, lb = durable(_leaves(a, "a")), durable(_leaves(b, "b"))
     ups = [*range(level - (level % step or step), 0, -step), 0]
     spark = left.sparkSession
-    pairs = spark.range(1).select(F.col("id").alias("a_pair"), F.col("id").alias("b_pair"), F.lit(False).alias("sure"))  # the two roots
+    pairs = spark.range(1).select(F.col("id").alias("a_pair"), F.col("id").alias("b_pair"), F.lit(False).alias("sure"), F.lit(level).alias("up"))  # the two roots
     above = level
     near, far = _bounds()
     for up in ups:
         na, nb = _nodes(la, "a", up, above), _nodes(lb, "b", up, above)
+        # A pair that is sure stays as it is, at its level; the others go on to their children.
         pairs = (
-            pairs.join(na, F.col("a_pair") == F.col("a_parent")).join(nb, F.col("b_pair") == F.col("b_parent"))
+            pairs.join(na, (F.col("a_pair") == F.col("a_parent")) & ~F.col("sure"), "left").join(nb, (F.col("b_pair") == F.col("b_parent")) & ~F.col("sure"), "left")
             .filter(F.col("sure") | (near <= limit * (1 + SLACK) + 1e-18))
-            .select(F.col("a_node").alias("a_pair"), F.col("b_node").alias("b_pair"), (F.col("sure") | (far <= limit * (1 - SLACK))).alias("sure"))
+            .select(F.coalesce("a_node", "a_pair").alias("a_pair"), F.coalesce("b_node", "b_pair").alias("b_pair"), (F.col("sure") | (far <= limit * (1 - SLACK))).alias("sure"), F.when(F.col("sure"), F.col("up")).otherwise(F.lit(up)).alias("up"))
         )
         above = up
+    pairs = durable(pairs)
+    leaf_pairs = pairs.filter("up = 0").drop("up")
+    for up in sorted(r["up"] for r in pairs.filter("up > 0").select("up").distinct().collect()):  # at most a row a level
+        below = lambda t, s: t.select(F.col(f"{s}_leaf"), _up(F.col(f"{s}_leaf"), up).alias(f"{s}_above"))  # noqa: E731, B023
+        whole = pairs.filter(F.col("up") == up).join(below(la, "a"), F.col("a_pair") == F.col("a_above")).join(below(lb, "b"), F.col("b_pair") == F.col("b_above"))
+        leaf_pairs = leaf_pairs.unionByName(whole.select(F.col("a_leaf").alias("a_pair"), F.col("b_leaf").alias("b_pair"), "sure"))
+    pairs = leaf_pairs
     hot = hot_keys(lb.withColumnRenamed("b_leaf", "b_pair"), ["b_pair"], "b_count", least=20_000)
     hot_a = hot_keys(la.withColumnRenamed("a_leaf", "a_pair"), ["a_pair"], "a_count", least=20_000).withColumnRenamed("__nsalt", "__asalt")
     of = lambda c: F.coalesce(F.col(c), F.lit(1))

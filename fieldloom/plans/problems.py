@@ -6,7 +6,10 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from fieldloom.functions.geo import canonical_lon, is_location
 from fieldloom.operators import drift, dualtree, impute, regular, timestamps
+from fieldloom.operators.joins import points_in_regions
+from fieldloom.plans.views import BOXES, boxes
 from fieldloom.sources.tables import table
 
 RADIUS_KM = 2.0
@@ -23,6 +26,15 @@ def p1_distances(spark: SparkSession, d: str) -> DataFrame:
     return x.withColumn("distance_km", F.round("distance_km", 6))
 
 
+def p1_regions(spark: SparkSession, d: str) -> DataFrame:
+    """Observations with the region that contains them: the nations' boxes, each with a hole in its middle."""
+    c = F.col
+    ring = lambda x0, x1, y0, y1: F.array(*[F.struct(x.alias("x"), y.alias("y")) for x, y in ((x0, y0), (x1, y0), (x1, y1), (x0, y1))])
+    b = boxes(spark, d).select("country", F.array(ring(c("lon_lo"), c("lon_hi"), c("lat_lo"), c("lat_hi")), ring(c("lon_lo") + 2, c("lon_hi") - 2, c("lat_lo") + 1.5, c("lat_hi") - 1.5)).alias("rings"))
+    s = table(spark, d, "species_dataset").filter(is_location(c("latitude"), c("longitude"))).select("record_id", c("latitude").alias("lat"), canonical_lon(c("longitude")).alias("lon")).distinct()
+    return points_in_regions(s, "lat", "lon", b, "country", "rings").select("record_id", "country")
+
+
 def _filled(spark: SparkSession, d: str, name: str, spec: impute.Spec) -> DataFrame:
     """The rows that got a value; they depend on the decoded value, so that the decoding isn't pruned."""
     x = impute.impute(table(spark, d, name), spec).filter(F.col("filled_value").isNotNull() & ~F.isnan("filled_value"))
@@ -103,7 +115,7 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return out(s, "species_dataset", "record_id").unionByName(out(o, "occurrence_dump", "occurrence_id"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_distances, p2_found, p2_marks, p2_species_dataset, p2_agri_grid, p2_ndvi_grid, p3_found, p3_marks, p3_series, p4_found, p4_paths, p4_cell_cube, p4_era5_single, p6_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_distances, p1_regions, p2_found, p2_marks, p2_species_dataset, p2_agri_grid, p2_ndvi_grid, p3_found, p3_marks, p3_series, p4_found, p4_paths, p4_cell_cube, p4_era5_single, p6_found)}
 
 _NEAR = """
 WITH s AS (SELECT DISTINCT site_id, latitude AS la, CASE WHEN longitude >= 180 THEN longitude - 360 ELSE longitude END AS lo FROM distribution
@@ -177,6 +189,9 @@ SQL = {
       a AS (SELECT specieskey, cell, m, round(n, 6) AS occurrences, false AS is_missing FROM o UNION ALL SELECT specieskey, cell, m, NULL, true FROM x)
       SELECT specieskey, cell AS eeacellcode, lpad((m // 12)::VARCHAR, 4, '0') || '-' || lpad((m % 12 + 1)::VARCHAR, 2, '0') AS period, occurrences, is_missing FROM a""",
     "p1_found": _NEAR + "SELECT DISTINCT site_id, record_id FROM m WHERE km <= 2",
+    "p1_regions": f"""WITH {BOXES}, o AS (SELECT DISTINCT record_id, latitude AS lat, CASE WHEN longitude >= 180 THEN longitude - 360 ELSE longitude END AS lon FROM species_dataset
+           WHERE latitude BETWEEN -90 AND 90 AND longitude BETWEEN -180 AND 360 AND NOT (latitude = 0 AND longitude = 0))
+      SELECT record_id, country FROM o, boxes WHERE lat >= lat_lo AND lat < lat_hi AND lon >= lon_lo AND lon < lon_hi AND NOT (lat >= lat_lo + 1.5 AND lat < lat_hi - 1.5 AND lon >= lon_lo + 2 AND lon < lon_hi - 2)""",
     "p1_distances": _NEAR + "SELECT site_id, record_id, round(min(km), 6) AS distance_km FROM m WHERE km <= 2 GROUP BY ALL",
     "p2_found": " UNION ALL ".join(
         [
