@@ -14,7 +14,7 @@ from fieldloom.operators import pipelines as pl
 from fieldloom.operators.timestamps import once
 from fieldloom.plans.flows import folder
 from fieldloom.plans.texts import _STOP, _WORDS
-from fieldloom.plans.views import BOXES, OBS, WIDE, Register, boxes, indicator_wide, obs, pure_seq, PURE
+from fieldloom.plans.views import BOXES, CUBE, OBS, WIDE, Register, boxes, cube, indicator_wide, obs, pure_seq, PURE
 from fieldloom.sources import catalog, readers, sinks
 from fieldloom.sources.tables import table
 
@@ -377,3 +377,26 @@ def dna_barcodes(spark: SparkSession, d: str) -> DataFrame:
     seqs = F.struct(F.array(F.struct(F.lit("s").alias("sequenceID"), F.col("dna").alias("nucleotides"))).alias("sequence"))
     p = s.select(F.to_json(F.struct(F.col("event_id").cast("string").alias("record_id"), seqs.alias("sequences"))).alias("payload"))
     return readers.dna_records(p).select(F.col("record_id").cast("long").alias("event_id"), F.substring(sq.clean_dna(F.col("nucleotides")), 1, 3).alias("head"))
+
+
+def _written(spark: SparkSession) -> str:
+    """The cube as one NetCDF file a day."""
+    out = folder(spark, "netcdf")
+    out = out if "://" in out or out.startswith("file:") else "file://" + out
+    out = "file:///" + out[6:].lstrip("/") if out.startswith("file:") else out
+    x = cube(spark).select(F.date_format("time", "yyyy-MM-dd").alias("day"), "time", F.col("level").alias("pressure_level"), (F.lit(40.0) + F.col("lat_idx") * 0.25).alias("latitude"), (F.lit(5.0) + F.col("lon_idx") * 0.25).alias("longitude"), "value")
+    sinks.write_netcdf(x, out, "day", "time", ["pressure_level", "latitude", "longitude"], ["value"]).count()
+    return out
+
+
+@query(f"WITH {CUBE} SELECT time, level::INT AS level, 40 + lat_idx * 0.25::DOUBLE AS latitude, 5 + lon_idx * 0.25::DOUBLE AS longitude, value FROM cube")
+def netcdf_read(spark: SparkSession, d: str) -> DataFrame:
+    x = readers.netcdf(spark, _written(spark), ["value", "absent"])
+    return x.select(ntz(F.col("time")).alias("time"), "level", "latitude", "longitude", "value")
+
+
+@query(f"WITH {CUBE} SELECT time, level::INT AS level, 40 + lat_idx * 0.25::DOUBLE AS latitude, value FROM cube WHERE strftime(time, '%Y-%m') = '2024-01' AND lat_idx IN (0, 4) AND lon_idx = 3")
+def netcdf_selected(spark: SparkSession, d: str) -> DataFrame:
+    """Steps of one month, at exact grid points."""
+    x = readers.netcdf(spark, _written(spark), ["value"], ["2024-01"], [40.0, 41.0, 40.1], [5.75])
+    return x.select(ntz(F.col("time")).alias("time"), "level", "latitude", "value")

@@ -8,7 +8,9 @@ import zipfile
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T, Window as W
+
+from fieldloom.sources import classic
 
 
 def csv(spark: SparkSession, path: str, schema: str | T.StructType | None = None, encoding: str = "UTF-8", sep: str = ",", skip_malformed: bool = False) -> DataFrame:
@@ -167,33 +169,60 @@ def dna_records(pages: DataFrame, payload: str = "payload") -> DataFrame:
     return x.select("r.record_id", F.coalesce("r.bin_uri", F.lit("Unknown")).alias("bin_uri"), *[rank(n) for n in ("phylum", "class", "order", "family", "genus", "species")], F.coalesce("r.collection_event.country", F.lit("Unknown")).alias("country"), F.col("r.collection_event.coordinates.lat").alias("latitude"), F.col("r.collection_event.coordinates.lon").alias("longitude"), first["sequenceID"].alias("sequence_id"), first["nucleotides"].alias("nucleotides"))
 
 
-def netcdf(spark: SparkSession, path: str, variables: list[str]) -> DataFrame:
-    """Long cube (time, variable, level, latitude, longitude, value) of NetCDF files; needs h5netcdf or netCDF4 on the executors.
+def _opened(content: bytes) -> dict[str, classic.Variable]:
+    """Variables of a NetCDF file: classic formats are read here, others need the netCDF4 library."""
+    if classic.is_classic(content):
+        return classic.read(content)[0]
+    try:
+        import netCDF4
+    except ImportError as e:
+        raise RuntimeError("reading NetCDF files that are not of a classic format needs the netCDF4 library on the executors") from e
+    import numpy as np
+
+    with netCDF4.Dataset("file", memory=content) as d:
+        d.set_auto_maskandscale(False)
+        return {k: classic.Variable(list(v.dimensions), np.asarray(v[:]), {n: v.getncattr(n) for n in v.ncattrs()}) for k, v in d.variables.items()}
+
 
-    Files are opened by the executors, one at a time, and given out a time step at a time. Without the library the query
-    fails with a plain message: the table form of a cube (Parquet) is what the engine works on.
+def netcdf(spark: SparkSession, path: str, variables: list[str], months: list[str] | None = None, latitudes: list[float] | None = None, longitudes: list[float] | None = None) -> DataFrame:
+    """Long cube (time, variable, level, latitude, longitude, value) of the NetCDF files under ``path``, missing values null.
+
+    The time axis is the longer of ``valid_time`` and ``time``; longitudes of 180 and more become negative. ``months``
+    (yyyy-MM) picks time steps, ``latitudes`` and ``longitudes`` the cells exactly at these coordinates; both within the worker, so
+    that only what is asked for leaves it. A file is read by one task and given out a time step at a time; absent
+    variables are left out.
     """
     schema = "time timestamp, variable string, level int, latitude double, longitude double, value double"
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        try:
-            import netCDF4
-        except ImportError as e:
-            raise RuntimeError("reading NetCDF needs the netCDF4 library on the executors") from e
         import numpy as np
 
+        on = lambda x, wanted: np.ones(len(x), dtype=bool) if wanted is None else np.isin(np.round(x, 6), np.round(np.array(wanted, dtype=float), 6))
         for f in frames:
             for content in f["content"]:
-                with netCDF4.Dataset("file", memory=bytes(content)) as d:
-                    time = next(d[n] for n in ("valid_time", "time") if n in d.variables)
-                    when = netCDF4.num2date(time[:], time.units, only_use_cftime_datetimes=False, only_use_python_datetimes=True)
-                    lat, lon = np.asarray(d["latitude"][:]), np.asarray(d["longitude"][:])
-                    levels = np.asarray(d["pressure_level"][:]) if "pressure_level" in d.variables else [None]
-                    a, b = (g.ravel() for g in np.meshgrid(lat, lon, indexing="ij"))
-                    for v in (v for v in variables if v in d.variables):
-                        for i, t in enumerate(when):
-                            for k, level in enumerate(levels):
-                                block = d[v][i] if level is None else d[v][i, k]
-                                yield pd.DataFrame({"time": pd.Timestamp(t), "variable": v, "level": level, "latitude": a, "longitude": b, "value": np.ma.filled(np.ma.asarray(block, dtype=float), np.nan).ravel()})
-
-    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, schema)
+                d = _opened(bytes(content))
+                axis = max((n for n in ("valid_time", "time") if n in d), key=lambda n: d[n].data.size)
+                when = classic.decoded_times(d[axis])
+                lat, lon = d["latitude"].values(), d["longitude"].values()
+                lon = np.where(lon >= 180, lon - 360, lon)
+                levels = [int(x) for x in d["pressure_level"].values()] if "pressure_level" in d else [None]
+                i, j = np.flatnonzero(on(lat, latitudes)), np.flatnonzero(on(lon, longitudes))
+                a, b = (g.ravel() for g in np.meshgrid(lat[i], lon[j], indexing="ij"))
+                for v in (v for v in variables if v in d):
+                    x = d[v].values()
+                    deep = "pressure_level" in d[v].dims
+                    for t, at in enumerate(when):
+                        if months is not None and at.strftime("%Y-%m") not in months:
+                            continue
+                        for k, level in enumerate(levels if deep else [None]):
+                            block = (x[t, k] if deep else x[t])[np.ix_(i, j)]
+                            yield pd.DataFrame({"time": pd.Timestamp(at), "variable": v, "level": pd.array([level] * len(a), dtype="Int32"), "latitude": a, "longitude": b, "value": block.ravel()})
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.nc").load(path).select("content")
+    return files.mapInPandas(run, schema).withColumn("value", F.nanvl("value", F.lit(None).cast("double")))
+
+
+def ndvi_points(spark: SparkSession, path: str, variable: str = "NDVI") -> DataFrame:
+    """latitude, longitude, month_year (MM/yyyy) and ndvi of the first time step of each NetCDF file; missing values are left out."""
+    x = netcdf(spark, path, [variable]).withColumn("f", F.min("time").over(W.partitionBy(F.date_trunc("MONTH", "time"), "latitude", "longitude")))
+    return x.filter((F.col("time") == F.col("f")) & F.col("value").isNotNull()).select("latitude", "longitude", F.date_format("time", "MM/yyyy").alias("month_year"), F.col("value").alias("ndvi"))

@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fieldloom.durable import durable
 from fieldloom.operators.joins import fingerprint, new_rows
+from fieldloom.sources import classic
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -67,6 +69,37 @@ def write_new_windows(df: DataFrame, path: str, window: str = "window_start") ->
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
 
 
+def write_netcdf(df: DataFrame, path: str, window: str, time: str, axes: list[str], values: list[str]) -> DataFrame:
+    """One NetCDF file (classic format) a window, named after it; returns ``window``, file and cells written, and writes when it is read.
+
+    A window's rows are one grid, whose size the data doesn't change; cells without a row are NaN. Axes are the sorted distinct
+    values; times are hours since 1970. Of several rows a cell the last in the order of the values counts.
+    """
+    schema = f"{window} string, file string, cells long"
+
+    def one(key: tuple, f: pd.DataFrame) -> pd.DataFrame:
+        import numpy as np
+        from pyarrow import fs as pafs
+
+        hours = (f[time] - pd.Timestamp("1970-01-01")) / pd.Timedelta(hours=1)
+        at = {"time": np.unique(hours), **{a: np.unique(f[a]) for a in axes}}
+        place = tuple(np.searchsorted(at[k], c) for k, c in (("time", hours), *[(a, f[a]) for a in axes]))
+        out = {k: classic.Variable([k], v.astype(float), {"units": "hours since 1970-01-01 00:00:00"} if k == "time" else {}) for k, v in at.items()}
+        for v in values:
+            grid = np.full([len(x) for x in at.values()], np.nan)
+            grid[place] = f[v].to_numpy(dtype=float)
+            out[v] = classic.Variable(list(at), grid)
+        target, folder = pafs.FileSystem.from_uri(path)
+        target.create_dir(folder, recursive=True)
+        name = f"{folder}/{key[0]}.nc"
+        with target.open_output_stream(name) as s:
+            s.write(classic.write(out))
+        return pd.DataFrame({window: [key[0]], "file": [name], "cells": [len(f)]})
+
+    x = df.select(F.col(window).cast("string").alias(window), F.col(time).cast("timestamp_ntz").alias(time), *[F.col(a).cast("double").alias(a) for a in axes], *[F.col(v).cast("double").alias(v) for v in values])
+    return x.groupBy(window).applyInPandas(one, schema)
+
+
 def write_json(df: DataFrame, path: str) -> None:
     """One JSON object a row, nulls included."""
     df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").text(path)

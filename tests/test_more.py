@@ -188,3 +188,36 @@ def test_command_line_of_single_chunks(spark, tmp_path, capsys):
     main(["run-single", "--cube", cube, "--out", str(tmp_path / "w"), "--index", "1", "--chunk", "2", "--fill-nan", "-1"])
     w = spark.read.parquet(str(tmp_path / "w"))
     assert w.select("window_start").distinct().count() == 2 and w.filter("value IS NULL").count() == 0 and w.filter("value = -1").count() > 0
+
+
+def test_netcdf_files_with_records_and_scales(spark, tmp_path):
+    """A file with a record dimension, two interleaved record variables, packed numbers and a fill value, laid out by hand."""
+    import struct
+
+    from fieldloom.sources import classic
+
+    text = lambda s: struct.pack(">i", len(s)) + s.encode() + b"\0" * (-len(s) % 4)
+    units = "days since 2000-01-01"
+    times = struct.pack(">ii", 12, 1) + text("units") + struct.pack(">ii", 2, len(units)) + units.encode() + b"\0" * (-len(units) % 4)
+    packed = struct.pack(">ii", 12, 3) + text("scale_factor") + struct.pack(">iid", 6, 1, 0.5) + text("add_offset") + struct.pack(">iid", 6, 1, 10.0) + text("_FillValue") + struct.pack(">iih2x", 3, 1, -9)
+
+    def header(b):
+        out = b"CDF\x01" + struct.pack(">i", 3) + struct.pack(">ii", 10, 3) + text("time") + struct.pack(">i", 0) + text("latitude") + struct.pack(">i", 2) + text("longitude") + struct.pack(">i", 1) + struct.pack(">ii", 0, 0)
+        out += struct.pack(">ii", 11, 4)
+        out += text("latitude") + struct.pack(">ii", 1, 1) + struct.pack(">ii", 0, 0) + struct.pack(">iii", 5, 8, b[0])
+        out += text("longitude") + struct.pack(">ii", 1, 2) + struct.pack(">ii", 0, 0) + struct.pack(">iii", 6, 8, b[1])
+        out += text("time") + struct.pack(">ii", 1, 0) + times + struct.pack(">iii", 4, 4, b[2])
+        return out + text("x") + struct.pack(">iiii", 3, 0, 1, 2) + packed + struct.pack(">iii", 3, 4, b[3])
+
+    n = len(header([0] * 4))
+    content = header([n, n + 8, n + 16, n + 20]) + struct.pack(">ffd", 50.0, 51.0, 359.0) + b"".join(struct.pack(">ihh", t, a, b) for t, a, b in ((0, 2, 4), (31, -9, 6), (62, 8, 10)))
+    v, _ = classic.read(content)
+    assert v["x"].values()[:, :, 0].tolist()[0] == [11.0, 12.0] and np.isnan(v["x"].values()[1, 0, 0]) and v["x"].values()[2, 1, 0] == 15.0
+    (tmp_path / "a.nc").write_bytes(content)
+    got = rows(readers.netcdf(spark, str(tmp_path), ["x"], ["2000-02", "2000-03"]).select(F.date_format("time", "yyyy-MM-dd"), "latitude", "longitude", "value"))
+    assert got == sorted([("2000-02-01", 50.0, -1.0, None), ("2000-02-01", 51.0, -1.0, 13.0), ("2000-03-03", 50.0, -1.0, 14.0), ("2000-03-03", 51.0, -1.0, 15.0)], key=repr)
+    assert rows(readers.ndvi_points(spark, str(tmp_path), "x").select("month_year", "latitude", "ndvi"))[0] == ("01/2000", 50.0, 11.0)
+    again, notes = classic.read(classic.write({"a": classic.Variable(["i", "j"], np.arange(6).reshape(2, 3), {"n": "né", "k": 2.5}), "b": classic.Variable(["j"], np.array([1.5, 2.5, np.nan]))}, {"title": "t"}))
+    assert again["a"].data.tolist() == [[0, 1, 2], [3, 4, 5]] and again["a"].attributes["n"] == "né" and np.isnan(again["b"].data[2]) and notes == {"title": "t"}
+    with pytest.raises(ValueError):
+        classic.read(b"no such file")
