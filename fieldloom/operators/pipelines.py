@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from fieldloom.durable import durable
 from fieldloom.functions import media
 from fieldloom.functions import sequence as sq
 from fieldloom.functions import stem
@@ -106,3 +107,16 @@ def image_pipeline(pixels: Column, height: int, width: int, channels: int = 3, s
         return pd.Series([None if v is None or (o := run(np.asarray(v, dtype=float))) is None else json.dumps(o) for v in values], dtype=object)
 
     return F.from_json(as_json(pixels), kind)
+
+
+def corrections(words: DataFrame, word: str, count: str, rare: int, common: int, least: int = 4) -> DataFrame:
+    """``word`` and ``correction``: words seen fewer than ``rare`` times with the most frequent word seen at least ``common`` times that is
+    one letter away (changed, dropped or added; ties by name). Words shorter than ``least`` stay. Each word is joined by itself and
+    by what is left without any one letter, so that no pair is compared that isn't close."""
+    forms = lambda w: F.array_distinct(F.concat(F.array(w), F.transform(F.sequence(F.lit(1), F.length(w)), lambda i: F.concat(F.substring(w, F.lit(1), i - 1), F.substring(w, i + 1, F.length(w))))))
+    x = durable(words.filter(F.length(word) >= least).select(F.col(word).alias("w"), F.col(count).alias("n")))
+    a = x.filter(F.col("n") < rare).select("w", F.explode(forms(F.col("w"))).alias("f"))
+    b = x.filter(F.col("n") >= common).select(F.col("w").alias("c"), "n", F.explode(forms(F.col("w"))).alias("f"))
+    near = a.join(b, "f").filter((F.col("w") != F.col("c")) & (F.levenshtein("w", "c") == 1))
+    best = near.groupBy("w").agg(F.min(F.struct((-F.col("n")).alias("m"), F.col("c"))).alias("b"))
+    return best.select(F.col("w").alias(word), F.col("b.c").alias("correction"))

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from fieldloom.functions import register
 from fieldloom.functions import sequence as sq
+from fieldloom.functions import text as tx
 from fieldloom.functions.barrier import computed
 from fieldloom.operators import aggregates as ag
 from fieldloom.operators import batch as bt
@@ -17,6 +19,7 @@ from fieldloom.plans.texts import _STOP, _WORDS
 from fieldloom.plans.views import BOXES, CUBE, OBS, WIDE, Register, boxes, cube, indicator_wide, obs, pure_seq, PURE
 from fieldloom.sources import catalog, readers, sinks
 from fieldloom.sources.tables import table
+from fieldloom.streaming import observations as stream
 
 query = Register()
 r6 = lambda c: F.round(c, 6)
@@ -400,3 +403,38 @@ def netcdf_selected(spark: SparkSession, d: str) -> DataFrame:
     """Steps of one month, at exact grid points."""
     x = readers.netcdf(spark, _written(spark), ["value"], ["2024-01"], [40.0, 41.0, 40.1], [5.75])
     return x.select(ntz(F.col("time")).alias("time"), "level", "latitude", "value")
+
+
+# The SQL surface, streams and spelling
+
+
+@query(f"WITH {OBS} SELECT event_id, round_even(lat / 0.5, 0) * 0.5::DOUBLE AS cell, date_trunc('day', ts) + to_hours(least(18, ceil((hour(ts) * 60 + minute(ts) - 180) / 360.0)::INT * 6)) AS slot, round(2 * 6371.0 * asin(sqrt(least(1.0, pow(sin(radians(50 - lat) / 2), 2) + cos(radians(lat)) * cos(radians(50)) * pow(sin(radians(10 - lon) / 2), 2)))), 4) AS km FROM obs")
+def sql_functions(spark: SparkSession, d: str) -> DataFrame:
+    """The engine's scalar functions within a SQL text."""
+    register.register(spark)
+    return spark.sql("SELECT event_id, snap_to(lat, 0.5D) AS cell, CAST(slot_of_six_hours(CAST(ts AS TIMESTAMP)) AS TIMESTAMP_NTZ) AS slot, round(distance_km(lat, canonical_longitude(lon), 50.0D, 10.0D), 4) AS km FROM {o}", o=obs(spark, d))
+
+
+@query(f"WITH {PURE}, k AS (SELECT event_id, unnest(range(0, 23))::INT AS pos, dna FROM pure) SELECT pos, substr(dna, pos + 1, 8)[1:3] AS head, count(*) AS n FROM k GROUP BY ALL")
+def table_function(spark: SparkSession, d: str) -> DataFrame:
+    """A table function joined laterally in SQL: words of eight bases, and a user's function on them."""
+    register.register(spark)
+    register.register_user(spark, "first_three", lambda s: s.str.slice(0, 3), "string")
+    return spark.sql("SELECT pos, first_three(kmer) AS head, count(*) AS n FROM {x}, LATERAL kmer_rows(dna, 8) GROUP BY ALL", x=pure_seq(spark, d))
+
+
+@query(f"WITH {OBS} SELECT species, round_even(lat / 0.25, 0) * 0.25::DOUBLE + 0 AS cell_lat, round_even(lon / 0.25, 0) * 0.25::DOUBLE + 0 AS cell_lon, date_trunc('day', ts) + to_hours(least(18, ceil((hour(ts) * 60 + minute(ts) - 180) / 360.0)::INT * 6)) AS slot, round(sum(dist), 6) AS total, count(*) AS n FROM obs GROUP BY ALL")
+def stream_totals(spark: SparkSession, d: str) -> DataFrame:
+    """Sums a species, cell and slot of the observations as a stream, kept up to date in a table."""
+    out, progress, source = folder(spark, "totals"), folder(spark, "progress"), table(spark, d, "events")
+    s = spark.readStream.schema(source.schema).parquet(f"{d}/events.parquet*")
+    s = s.selectExpr("user_id AS species", "ts", "34.0D + (event_id * 37 % 3801) / 100.0D AS lat", "-30.0D + (event_id * 91 % 8001) / 100.0D AS lon", "value AS dist")
+    stream.keep(stream.slot_totals(s, "ts", "lat", "lon", "species", "dist", "400 days"), out, progress).awaitTermination()
+    return spark.read.parquet(out).withColumns({"slot": ntz(F.col("slot")), "total": r6("total"), "cell_lat": F.col("cell_lat") + 0.0, "cell_lon": F.col("cell_lon") + 0.0})
+
+
+@query(f"WITH {_WORDS}, v AS (SELECT term, sum(n) AS n FROM c WHERE regexp_full_match(term, '[a-z]+') GROUP BY term), p AS (SELECT a.term, b.term AS correction, row_number() OVER (PARTITION BY a.term ORDER BY b.n DESC, b.term) AS r FROM v a JOIN v b ON a.n < 3 AND b.n >= 20 AND length(a.term) >= 4 AND length(b.term) >= 4 AND abs(length(a.term) - length(b.term)) <= 1 AND levenshtein(a.term, b.term) = 1) SELECT term, correction FROM p WHERE r = 1")
+def spelling_corrections(spark: SparkSession, d: str) -> DataFrame:
+    """Rare words of plain letters with the common word that differs by one letter."""
+    v = tx.term_counts(table(spark, d, "documents"), "doc_id", tx.tokens(F.col("text"))).filter(F.col("term").rlike(r"\A[a-z]+\z")).groupBy("term").agg(F.sum("n").alias("n"))
+    return pl.corrections(v, "term", "n", 3, 20)

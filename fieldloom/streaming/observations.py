@@ -30,3 +30,10 @@ def slot_totals(stream: DataFrame, time: str, lat: str, lon: str, species: str,
 def append(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Everything there is, appended to Parquet exactly once, then stopped; run again for what has come since."""
     return stream.drop("__t").writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+
+
+def keep(totals: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """All there is of an aggregated stream as a Parquet table that is replaced after each batch, then stopped; run again for what
+    has come since. A replaced batch is the same batch, so a restart changes nothing."""
+    write = lambda batch, _: batch.write.mode("overwrite").parquet(path)
+    return totals.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).outputMode("complete").trigger(availableNow=True).start()
