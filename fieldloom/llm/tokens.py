@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 #: Folder of the tokenizers' files; every function takes another path.
 DEFAULT_FOLDER = "/opt/tokenizers"
@@ -38,6 +40,19 @@ def load(path: str):
     return t
 
 
+def shipped(spark: SparkSession, path: str) -> Callable[[], str]:
+    """Gives the tokenizer's file to every executor that a task runs on; what is returned finds it there, or else at ``path``."""
+    if os.path.isfile(path):
+        spark.sparkContext.addFile(path)
+    name = os.path.basename(path)
+
+    def find() -> str:
+        local = SparkFiles.get(name)
+        return local if os.path.isfile(local) else path
+
+    return find
+
+
 def byte_characters() -> dict[str, int]:
     """Character to byte of byte-level vocabularies: printable Latin-1 characters stand for themselves, the other bytes in order for those from U+0100 on."""
     plain = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
@@ -62,11 +77,11 @@ def encode(df: DataFrame, key: str, text: str, path: str | None = None, offsets:
     ``offsets`` adds ``starts`` and ``ends``: for each token the characters of the text it covers; tokens that split
     one character cover the same one. Texts of any length are encoded whole. One row for each row, in any order.
     """
-    path = path or tokenizer_path()
+    find = shipped(df.sparkSession, path or tokenizer_path())
     whole = pa.list_(pa.int32())
 
     def run(batches):
-        tokenizer = load(path)
+        tokenizer = load(find())
         for batch in batches:
             texts = [x or "" for x in batch.column(1).to_pylist()]
             ids, starts, ends = [], [], []
@@ -90,10 +105,10 @@ def decode(df: DataFrame, key: str, ids: str = "ids", path: str | None = None) -
     text are decoded together, so characters split over tokens come out whole; bytes that are no UTF-8 become U+FFFD.
     Null and empty lists give the empty text; ids outside the vocabulary are an error.
     """
-    path = path or tokenizer_path()
+    find = shipped(df.sparkSession, path or tokenizer_path())
 
     def run(batches):
-        tokenizer = load(path)
+        tokenizer = load(find())
         table = byte_characters()
         special = {i: t.content.encode() for i, t in tokenizer.get_added_tokens_decoder().items()}
         known: dict[int, bytes] = {}
