@@ -161,7 +161,7 @@ def indicator_sum(spark: SparkSession, d: str) -> DataFrame:
     return w.select("country", F.round(F.col("agri_1995") + F.col("agri_1996") + F.col("agri_1997"), 2).alias("total"))
 
 
-@query(f"""WITH {OBS}, i AS (SELECT * FROM obs WHERE cls = 'view' AND species % 2 = 0), s AS (SELECT * FROM obs WHERE cls = 'click' AND species % 3 = 0), e AS (SELECT * FROM obs WHERE cls = 'error'), q AS (SELECT * FROM obs WHERE cls = 'purchase'),
+@query(f"""WITH {OBS}, y AS (SELECT * REPLACE (species * 1000 + round(lon, 0)::INT AS species) FROM obs), i AS (SELECT * FROM y WHERE cls = 'view'), s AS (SELECT * FROM y WHERE cls = 'click'), e AS (SELECT * FROM y WHERE cls = 'error'), q AS (SELECT * FROM y WHERE cls = 'purchase'),
 u AS (SELECT i.species, 'pair' AS kind, i.event_id AS first_id, s.event_id AS second_id, (i.lat + s.lat) / 2 AS lat, (i.lon + s.lon) / 2 AS lon, 1.0::DOUBLE AS dist FROM i JOIN s USING (species) QUALIFY row_number() OVER (PARTITION BY i.species ORDER BY i.event_id, s.event_id) <= 3
 UNION ALL (SELECT species, 'image', event_id, NULL, lat, lon, 1.0 FROM i WHERE species NOT IN (SELECT species FROM s) QUALIFY row_number() OVER (PARTITION BY species ORDER BY event_id) <= 3)
 UNION ALL (SELECT species, 'audio', event_id, NULL, lat, lon, 1.0 FROM s WHERE species NOT IN (SELECT species FROM i) QUALIFY row_number() OVER (PARTITION BY species ORDER BY event_id) <= 3)
@@ -169,7 +169,8 @@ UNION ALL SELECT species, 'edna', event_id, NULL, lat, lon, 1.0 FROM e WHERE spe
 UNION ALL SELECT species, 'distribution', event_id, NULL, lat, lon, dist FROM q)
 SELECT species, kind, first_id, second_id, round(lat, 6) AS lat, round(lon, 6) AS lon, round(dist, 6) AS dist FROM u""")
 def species_fusion(spark: SparkSession, d: str) -> DataFrame:
-    o = obs(spark, d)
-    one = lambda cls, cond="true": o.filter((F.col("cls") == cls) & F.expr(cond)).select("species", F.col("event_id").alias("id"), "lat", "lon", "dist")
-    x = bt.fuse_species(one("view", "species % 2 = 0"), one("click", "species % 3 = 0"), one("error"), one("purchase"))
+    """All observations; a species is one kind at one longitude, so that some have images, some sounds, some both or neither."""
+    o = obs(spark, d).withColumn("species", F.col("species") * 1000 + F.round("lon", 0).cast("int"))
+    one = lambda cls: o.filter(F.col("cls") == cls).select("species", F.col("event_id").alias("id"), "lat", "lon", "dist")
+    x = bt.fuse_species(one("view"), one("click"), one("error"), one("purchase"))
     return x.withColumns({c: r6(c) for c in ("lat", "lon", "dist")})
