@@ -75,9 +75,9 @@ def beta_jaccard(df: DataFrame, species: str, region: str, every: bool = False)
     left = x.join(F.broadcast(hot), "s", "left").select("s", F.col("r").alias("a"), F.pmod(F.xxhash64("r"), salts).cast("int").alias("k"))
     right = x.join(F.broadcast(hot), "s", "left").select("s", F.col("r").alias("b"), F.explode(F.sequence(F.lit(0), salts - 1)).alias("k"))
     both = left.join(right, ["s", "k"]).groupBy("a", "b").agg(F.count(F.lit(1)).alias("both"))
-    if every:  # one row a pair is the result asked for
-        regions = size.select("r", F.lit(1).alias("one"))
-        both = regions.select(F.col("r").alias("a"), "one").join(regions.select(F.col("r").alias("b"), "one"), "one").drop("one").join(both, ["a", "b"], "left").fillna({"both": 0})
+    if every:  # one row a pair is the result asked for; the list of regions is as long as one side of it
+        regions = size.agg(F.collect_list("r")).scalar()
+        both = size.select(F.col("r").alias("a"), F.explode(regions).alias("b")).join(both, ["a", "b"], "left").fillna({"both": 0})
     both = both.join(size.select(F.col("r").alias("a"), F.col("n").alias("na")), "a").join(size.select(F.col("r").alias("b"), F.col("n").alias("nb")), "b")
     return both.select("a", "b", (1 - F.col("both") / (F.col("na") + F.col("nb") - F.col("both"))).alias("jaccard"))
 
