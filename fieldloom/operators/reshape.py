@@ -68,3 +68,12 @@ def chunked(df: DataFrame, rank: str, size: int, look_ahead: bool = False) -> Da
 def top_per_group(df: DataFrame, by: list[str], order: list[Column], n: int) -> DataFrame:
     """The first ``n`` rows a group in ``order`` (a top-k)."""
     return df.withColumn("__r", F.row_number().over(W.partitionBy(*by).orderBy(*order))).filter(F.col("__r") <= n).drop("__r")
+
+
+def header_parts(name: Column) -> Column:
+    """struct of variable, month and year of a column name in the forms of ``parse_header``, null where it names no period or its month is none."""
+    pattern = r"^(?:(.+?)_)?(?:(\d{1,2})/)?(\d{4})$"
+    part = lambda i: F.nullif(F.regexp_extract(name, pattern, i), F.lit(""))
+    month = part(2).try_cast("int")
+    fits = part(3).isNotNull() & (month.isNull() | month.between(1, 12))
+    return F.when(fits, F.struct(part(1).alias("variable"), month.alias("month"), part(3).try_cast("int").alias("year")))

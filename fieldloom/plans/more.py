@@ -7,12 +7,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from fieldloom.functions import register
 from fieldloom.functions import sequence as sq
 from fieldloom.functions import text as tx
+from fieldloom.functions import time as tm
 from fieldloom.functions.barrier import computed
 from fieldloom.operators import aggregates as ag
 from fieldloom.operators import batch as bt
 from fieldloom.operators import filters as fl
 from fieldloom.operators import joins as jn
 from fieldloom.operators import pipelines as pl
+from fieldloom.operators import reshape as rs
 from fieldloom.operators.timestamps import once
 from fieldloom.plans.flows import folder
 from fieldloom.plans.texts import _STOP, _WORDS
@@ -382,11 +384,15 @@ def dna_barcodes(spark: SparkSession, d: str) -> DataFrame:
     return readers.dna_records(p).select(F.col("record_id").cast("long").alias("event_id"), F.substring(sq.clean_dna(F.col("nucleotides")), 1, 3).alias("head"))
 
 
+def _uri(path: str) -> str:
+    """A path as executors' file systems take it: with its scheme, that of local files with three slashes."""
+    path = path if "://" in path or path.startswith("file:") else "file://" + path
+    return "file:///" + path[5:].lstrip("/") if path.startswith("file:") else path
+
+
 def _written(spark: SparkSession) -> str:
     """The cube as one NetCDF file a day."""
-    out = folder(spark, "netcdf")
-    out = out if "://" in out or out.startswith("file:") else "file://" + out
-    out = "file:///" + out[6:].lstrip("/") if out.startswith("file:") else out
+    out = _uri(folder(spark, "netcdf"))
     x = cube(spark).select(F.date_format("time", "yyyy-MM-dd").alias("day"), "time", F.col("level").alias("pressure_level"), (F.lit(40.0) + F.col("lat_idx") * 0.25).alias("latitude"), (F.lit(5.0) + F.col("lon_idx") * 0.25).alias("longitude"), "value")
     sinks.write_netcdf(x, out, "day", "time", ["pressure_level", "latitude", "longitude"], ["value"]).count()
     return out
@@ -438,3 +444,80 @@ def spelling_corrections(spark: SparkSession, d: str) -> DataFrame:
     """Rare words of plain letters with the common word that differs by one letter."""
     v = tx.term_counts(table(spark, d, "documents"), "doc_id", tx.tokens(F.col("text"))).filter(F.col("term").rlike(r"\A[a-z]+\z")).groupBy("term").agg(F.sum("n").alias("n"))
     return pl.corrections(v, "term", "n", 3, 20)
+
+
+@query("SELECT DISTINCT header, variable, month, year FROM (SELECT 'Agri_' || year(o_orderdate) AS header, 'Agri' AS variable, NULL::INT AS month, year(o_orderdate)::INT AS year FROM orders UNION ALL SELECT 'NDVI_' || strftime(o_orderdate, '%m/%Y'), 'NDVI', month(o_orderdate)::INT, year(o_orderdate)::INT FROM orders UNION ALL SELECT month(o_orderdate) || '/' || year(o_orderdate), NULL, month(o_orderdate)::INT, year(o_orderdate)::INT FROM orders UNION ALL SELECT year(o_orderdate)::VARCHAR, NULL, NULL, year(o_orderdate)::INT FROM orders)")
+def header_parts(spark: SparkSession, d: str) -> DataFrame:
+    """Names of period columns, among names that are none."""
+    o = table(spark, d, "orders")
+    forms = F.array(*[F.concat(F.lit(p), F.date_format("o_orderdate", f)) for p, f in (("Agri_", "yyyy"), ("NDVI_", "MM/yyyy"), ("", "M/yyyy"), ("", "yyyy"), ("Land_", "yy"), ("", "yyyy-MM"))])
+    x = o.select(F.explode(forms).alias("header")).distinct().withColumn("p", rs.header_parts(F.col("header")))
+    return x.filter("p IS NOT NULL").select("header", "p.*")
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 4 < 3 THEN date_trunc('day', o_orderdate) END AS ts FROM orders")
+def coerced_times(spark: SparkSession, d: str) -> DataFrame:
+    """Every order's date in one of three notations or as no date."""
+    k, at = F.col("o_orderkey") % 4, lambda f: F.date_format("o_orderdate", f)
+    text = F.when(k == 0, at("yyyy-MM-dd HH:mm:ss")).when(k == 1, at("yyyy-MM-dd")).when(k == 2, at("dd/MM/yyyy")).otherwise(F.concat(F.lit("about "), at("yyyy")))
+    ts = tm.coerced(F.col("text"), ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "dd/MM/yyyy"])
+    return table(spark, d, "orders").select("o_orderkey", text.alias("text")).select("o_orderkey", ntz(F.date_trunc("DAY", ts)).alias("ts"))
+
+
+@query("SELECT event_id, date_trunc('day', ts) + CASE event_id % 5 WHEN 0 THEN to_minutes(hour(ts) * 60 + minute(ts)) WHEN 1 THEN INTERVAL 6 HOUR WHEN 2 THEN to_hours(hour(ts)) WHEN 3 THEN to_minutes(hour(ts) * 60 + minute(ts)) ELSE INTERVAL 12 HOUR END - INTERVAL 2 HOUR AS at FROM events")
+def free_text_times(spark: SparkSession, d: str) -> DataFrame:
+    """Every event's time in one of five notations, two hours east of UTC."""
+    k, at = F.col("event_id") % 5, lambda f: F.date_format("ts", f)
+    text = F.when(k == 0, F.concat(at("h.mm"), F.lit(" "), F.lower(at("a")))).when(k == 1, F.lit("Dawn")).when(k == 2, at("HH")).when(k == 3, at("HH:mm")).otherwise(F.lit("PM"))
+    return table(spark, d, "events").select("event_id", ntz(tm.free_text_time(at("yyyy-MM-dd"), text, F.lit("+02:00"))).alias("at"))
+
+
+@query("SELECT DISTINCT date_trunc('hour', ts) AS timestamp FROM events WHERE ts IS NOT NULL")
+def sorted_times(spark: SparkSession, d: str) -> DataFrame:
+    e = table(spark, d, "events").select(F.concat(F.lit("['"), F.date_format(F.date_trunc("HOUR", "ts"), "yyyy-MM-dd HH:mm:ss"), F.lit("']")).alias("t"))
+    return sinks.sorted_times(e, "t").select(ntz(F.col("timestamp")).alias("timestamp"))
+
+
+@query(f"WITH {OBS}, x AS (SELECT cls, CASE WHEN event_id % 7 = 0 THEN 'Infinity'::DOUBLE WHEN event_id % 11 = 0 THEN 'NaN'::DOUBLE ELSE dist END AS v FROM obs) SELECT cls, count(*) FILTER (isfinite(v)) AS count_valid, count(*) FILTER (NOT isfinite(v)) AS count_nan, round(avg(v) FILTER (isfinite(v)), 6) AS mean, max(v) FILTER (isfinite(v)) AS max FROM x GROUP BY cls")
+def moments_finite(spark: SparkSession, d: str) -> DataFrame:
+    """Moments where some values are infinite or NaN."""
+    k = F.col("event_id")
+    x = obs(spark, d).withColumn("v", F.when(k % 7 == 0, F.lit(float("inf"))).when(k % 11 == 0, F.lit(float("nan"))).otherwise(F.col("dist")))
+    return ag.moments(x, "v", ["cls"], skip_infinite=True).select("cls", "count_valid", "count_nan", r6("mean").alias("mean"), "max")
+
+
+@query("SELECT vec_id, list_sum(list_transform(embedding, lambda x: (trunc(x::DOUBLE * 1000))::INT))::BIGINT AS total FROM embeddings")
+def tensor_cast(spark: SparkSession, d: str) -> DataFrame:
+    v = bt.cast_tensor(F.transform("embedding", lambda x: x.cast("double") * 1000), "int")
+    return table(spark, d, "embeddings").select("vec_id", F.aggregate(v, F.lit(0).cast("long"), lambda a, x: a + x).alias("total"))
+
+
+@query("SELECT image_id AS observation_id, coalesce(scientific_name, 'Unknown') AS scientific_name, coalesce(genus, 'Unknown') AS genus, 0::INT AS photo FROM (SELECT DISTINCT image_id, scientific_name, genus FROM image_metadata)")
+def observation_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Observation JSON with ranks among ancestors and a photo each, parsed."""
+    i = once(table(spark, d, "image_metadata").select("image_id", "scientific_name", "genus"), "image_id")
+    ancestors = F.when(F.col("genus").isNotNull(), F.array(F.struct(F.lit("genus").alias("rank"), F.col("genus").alias("name"))))
+    o = F.struct(F.col("image_id").alias("id"), F.struct(F.col("scientific_name").alias("name")).alias("taxon"), F.array(F.struct(F.struct(ancestors.alias("ancestors")).alias("taxon"))).alias("identifications"), F.array(F.struct(F.lit("https://img.example/square.jpg").alias("url"))).alias("photos"))
+    return readers.observations(i.select(F.to_json(o).alias("payload"))).select("observation_id", "scientific_name", "genus", "photo")
+
+
+@query("SELECT event_id FROM events WHERE event_type IN ('view', 'click') AND event_id % 3 <> 1")
+def good_recordings(spark: SparkSession, d: str) -> DataFrame:
+    """Recordings of good quality that name no second species."""
+    q = F.when(F.col("event_type") == "view", "A").when(F.col("event_type") == "click", "B").otherwise("C")
+    also = F.when(F.col("event_id") % 3 == 0, F.array(F.lit(""))).when(F.col("event_id") % 3 == 1, F.array(F.lit("Parus major")))
+    return readers.good_recordings(table(spark, d, "events").select("event_id", q.alias("q"), also.alias("also"))).select("event_id")
+
+
+@query("SELECT event_type AS kind, event_id::VARCHAR AS id, CASE WHEN event_id % 2 = 0 THEN 'odd later file' ELSE 'first file' END AS note FROM events WHERE event_type IS NOT NULL")
+def zipped_tables(spark: SparkSession, d: str) -> DataFrame:
+    """ZIP files of tab-separated tables; of a record that two files have, the last file's row."""
+    from fieldloom.sources.readers import latest_by_key, zipped_tsv
+
+    out = _uri(folder(spark, "zips"))
+    e = table(spark, d, "events").filter("event_type IS NOT NULL").select("event_type", F.col("event_id").cast("string").alias("id"), F.col("event_id").alias("n"))
+    first = e.select(F.concat(F.lit("a_"), "event_type").alias("file"), "event_type", "id", F.lit("first file").alias("note"))
+    later = e.filter("n % 2 = 0").select(F.concat(F.lit("b_"), "event_type").alias("file"), "event_type", "id", F.lit("odd later file").alias("note"))
+    sinks.write_zipped(first.unionByName(later), out, "file", ["event_type", "id", "note"]).count()
+    x = latest_by_key(zipped_tsv(spark, out, ["Event_Type", "id", "note"]), "id")
+    return x.select(F.col("Event_Type").alias("kind"), "id", "note")

@@ -100,6 +100,46 @@ def write_netcdf(df: DataFrame, path: str, window: str, time: str, axes: list[st
     return x.groupBy(window).applyInPandas(one, schema)
 
 
+def write_zipped(df: DataFrame, path: str, file: str, columns: list[str]) -> DataFrame:
+    """One ZIP file with a tab-separated table for each value of ``file``; returns file and rows, and writes when it is read. The rows
+    of a file go through one task, as a ZIP file has one writer, which holds the compressed file until it is whole."""
+    schema = f"{file} string, rows long"
+    kept = [file, *columns]
+
+    def run(frames):
+        import io
+        import zipfile
+        from pyarrow import fs as pafs
+
+        target, folder = pafs.FileSystem.from_uri(path)
+        target.create_dir(folder, recursive=True)
+        now, out, member, n = None, None, None, 0
+
+        def finish():
+            member.close()
+            z.close()
+            with target.open_output_stream(f"{folder}/{now}.zip") as s:
+                s.write(out.getvalue())
+            return pd.DataFrame({file: [now], "rows": [n]})
+
+        for f in frames:
+            for name, part in f.groupby(file, sort=False):
+                if name != now:
+                    if now is not None:
+                        yield finish()
+                    now, n, out = name, 0, io.BytesIO()
+                    z = zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED)
+                    member = z.open("table.tsv", "w", force_zip64=True)
+                    member.write(("\t".join(columns) + "\n").encode())
+                member.write(part[columns].to_csv(sep="\t", index=False, header=False, lineterminator="\n").encode())
+                n += len(part)
+        if now is not None:
+            yield finish()
+
+    x = df.filter(F.col(file).isNotNull()).select(*[F.col(c).cast("string").alias(c) for c in kept])
+    return x.repartition(file).sortWithinPartitions(file).mapInPandas(run, schema)
+
+
 def write_json(df: DataFrame, path: str) -> None:
     """One JSON object a row, nulls included."""
     df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")).write.mode("overwrite").text(path)
