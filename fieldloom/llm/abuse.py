@@ -26,6 +26,8 @@ from fieldloom.llm.reader import FEATURES, LEARNT, Reader, features, terms  # no
 MOST_LABELS = 200_000
 #: Words and word pairs that the learnt lexicon holds at most, those of the surest log-odds.
 MOST_LEARNT = 50_000
+#: Weight of a labelled document taken as if its words were unknown, beside 1 of the document itself.
+UNKNOWN_WEIGHT = 0.3
 #: Labelled documents for each task of a boosting round.
 LABELS_A_TASK = 50_000
 
@@ -94,9 +96,9 @@ def score(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     feats = durable(with_features(docs.join(y, doc_id, "left"), doc_id, "__doc", [source, "__label", "__fold"], learnt, folds, "__fold"))
     n = sum(classes.values())
     known = feats.filter("__label IS NOT NULL").select("features", "__label", "__fold", F.lit(True).alias("real"))
-    unknown = known.withColumns({"features": F.concat(F.slice("features", 1, len(FEATURES) - len(LEARNT)), F.array_repeat(F.lit(0.0), len(LEARNT))), "real": F.lit(False)})
-    known = known.unionByName(unknown).select(array_to_vector("features").alias("x"), "__label", "__fold", "real").repartition(-(-2 * n // LABELS_A_TASK)).persist()
-    trees = GBTClassifier(featuresCol="x", labelCol="__label", maxIter=20, maxDepth=4, stepSize=0.25, minInstancesPerNode=3, subsamplingRate=0.8, seed=11, maxBins=64, checkpointInterval=-1)
+    unknown = known.withColumns({"features": F.concat(F.slice("features", 1, len(FEATURES) - len(LEARNT)), F.array_repeat(F.lit(0.0), len(LEARNT))), "real": F.lit(False)})  # they weigh less, as where words are known these decide
+    known = known.unionByName(unknown).select(array_to_vector("features").alias("x"), "__label", "__fold", "real", F.when(F.col("real"), 1.0).otherwise(UNKNOWN_WEIGHT).alias("__weight")).repartition(-(-2 * n // LABELS_A_TASK)).persist()
+    trees = GBTClassifier(featuresCol="x", labelCol="__label", weightCol="__weight", maxIter=20, maxDepth=4, stepSize=0.25, minInstancesPerNode=3, subsamplingRate=0.8, seed=11, maxBins=64, checkpointInterval=-1)
     raw = lambda m, df: m.transform(df).withColumn("p", vector_to_array("probability")[1])
     seen: dict[int, set] = {}
     for r in known.select("__fold", "__label").distinct().collect():

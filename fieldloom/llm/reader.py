@@ -18,7 +18,7 @@ LEXICONS = {
     "insult": """
         idiot/idiots/moron/morons/imbecile/cretin/stupid/dumb/dumbass/fool/loser/losers/jerk/bastard/bastards/bitch/asshole/assholes/arsehole/dickhead/prick/twat/wanker/scumbag/scum/jackass/retard/retarded/pathetic/worthless/disgusting/ugly/brainless/garbage/trash/useless/coward/creep/freak/pig/swine/son of a bitch/piece of shit
         dummkopf/trottel/arschloch/wichser/hurensohn/schlampe/drecksau/schwachkopf/vollidiot/depp/miststuck/versager/penner/blode kuh
-        connard/connasse/salope/salaud/abruti/debile/encule/batard/ordure/pute/fils de pute/gros porc
+        connard/connasse/salope/salaud/abruti/debile/encule/batard/ordure/pute/fils de pute
         gilipollas/imbecil/cabron/idiota/estupido/puta/inutil/pendejo/zorra/hijo de puta
         stronzo/coglione/bastardo/troia/puttana/deficiente
         otario/babaca/vagabunda/burro
@@ -39,10 +39,10 @@ LEXICONS = {
         блядь/хуй/пизда
         他妈""",
     "threat": """
-        kill/die/dead/murder/hurt/beat/smash/stab/shoot/rape/raped/hang/choke/strangle/throat/burn/suffer/bleed/drown/shut up/drop dead/go to hell/kill yourself/hang yourself/jump off/watch your back/where you live/coming for you/been born/nobody likes you/would miss you/deserve to
-        umbringen/toten/sterben/stirb/verrecke/bring dich um/halt die fresse/verpiss dich/wo du wohnst
+        kill/die/dead/murder/hurt/beat/smash/stab/shoot/rape/raped/hang/choke/strangle/throat/burn/suffer/bleed/drown/shut up/drop dead/go to hell/kill yourself/hang yourself
+        umbringen/toten/sterben/stirb/verrecke/bring dich um/halt die fresse/verpiss dich
         tuer/mourir/creve/crever/frapper/ta gueule
-        matar/matate/muere/muerete/ahogues/golpear/vete a la mierda/te voy a
+        matar/matate/muere/muerete/golpear/vete a la mierda
         muori/ammazzati
         morra
         dood/vermoorden
@@ -68,7 +68,7 @@ LEXICONS = {
         женщины/евреи/мигранты
         女人/黑人""",
     "dehuman": """
-        vermin/rats/cockroaches/parasites/plague/animals/subhuman*/savages/filth/filthy/disease/thieves/liars/criminals/inferior/exterminate*/deport*/invaders/not human/wiped out/get rid of/back where they came
+        vermin/rats/cockroaches/parasites/plague/animals/subhuman*/savages/filth/filthy/disease/thieves/liars/criminals/inferior/exterminate*/deport*/invaders/not human/get rid of
         ungeziefer/ratten/parasiten/plage/untermenschen/abschaum/verbrecher/diebe
         vermine/parasites/sauvages/racaille/voleurs/fleau
         plaga/ratas/parasitos/basura/ladrones/escoria/criminales
