@@ -47,8 +47,15 @@ def usable(c: Column, low: float, high: float) -> Column:
 
 
 def _bin(c: Column, cuts: list[float]) -> Column:
-    """Index of the bin of a number: how many cut points it reaches."""
-    return F.size(F.filter(F.array(*[F.lit(float(x)) for x in cuts]), lambda x: x <= c)) if cuts else F.lit(0)
+    """Index of the bin of a number: how many cut points it reaches, by halving."""
+
+    def within(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(c >= float(cuts[middle]), within(middle + 1, high)).otherwise(within(low, middle))
+
+    return within(0, len(cuts))
 
 
 def _prepared(df: DataFrame, spec: Spec) -> DataFrame:
