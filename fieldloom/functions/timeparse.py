@@ -141,7 +141,10 @@ def utc_text(seconds: Column) -> Column:
 
 def with_month_index(df: DataFrame, text: Column, out: str) -> DataFrame:
     """``df`` with ``out``: months since year 0 (12 * year + month - 1) of a text that names a real calendar day or a month of a year, else null."""
-    x = computed(df, {"__mc": components(text)})
+    # The commonest notation is cut at its places; the large pattern is only matched for the others.
+    whole = text.cast("string")
+    cut = F.array(F.substring(whole, 1, 4), F.substring(whole, 6, 2), F.lit(""), F.substring(whole, 9, 2))
+    x = computed(df, {"__mc": F.when(whole.rlike(r"\A\d{4}-\d{2}-\d{2}\z"), cut).otherwise(components(text))})
     return computed(x, {out: _month_of(F.col("__mc"))}).drop("__mc")
 
 
